@@ -19,8 +19,8 @@ def airline_shaped(c: Column) -> Column:
 
 
 def callsign_norm(c: Column) -> Column:
-    """Leading zeros of the flight number go: ABC012 is ABC12."""
-    return F.regexp_replace(c, "^([A-Z]{3})0+([0-9])", "$1$2")
+    """Trimmed capitals without leading zeros of the flight number: " abc012" is ABC12."""
+    return F.regexp_replace(F.upper(F.trim(c)), "^([A-Z]{3})0+([0-9])", "$1$2")
 
 
 def sentinel_numeric(c: Column, word: str = "ground", value: float = 0.0) -> Column:
@@ -79,11 +79,11 @@ def hex_to_number(c: Column, digits: tuple[int, int] = (1, 6)) -> Column:
     return F.when(c.rlike(f"^[0-9A-Fa-f]{{{digits[0]},{digits[1]}}}$"), F.conv(c, 16, 10).cast("long"))
 
 
-def jet_infeasible(shaped: Column, jet: Column, runway_ft: Column, scheduled: Column, least_ft: int) -> Column:
-    """An airline jet at a field that it cannot use: the runway is too short, or unknown (0) at a field without scheduled service."""
-    known = F.coalesce(runway_ft, F.lit(0))
-    small = ((known > 0) & (known < least_ft)) | ((known == 0) & ~F.coalesce(scheduled, F.lit(False)))
-    return F.coalesce(shaped, F.lit(False)) & F.coalesce(jet, F.lit(False)) & small
+def jet_infeasible(shaped: Column, jet: Column, runway_ft: Column, kind: Column, least_ft: int) -> Column:
+    """An airline jet at a field it cannot use: a runway known to be too short, or a small airport whose runway is unknown (0). An unknown airport is feasible."""
+    length = F.coalesce(runway_ft, F.lit(0))
+    unfit = ((length > 0) & (length < least_ft)) | ((length == 0) & (F.coalesce(kind, F.lit("")) == "small_airport"))
+    return F.coalesce(shaped, F.lit(False)) & F.coalesce(jet, F.lit(False)) & unfit
 
 
 def round_half_up(c: Column) -> Column:

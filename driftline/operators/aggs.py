@@ -80,13 +80,19 @@ def vote_map(df: DataFrame, keys: Sequence[str], candidate: str) -> DataFrame:
 
 
 def plurality(ballots: DataFrame, keys: Sequence[str], candidate: str, voter: str, rank: str, gate: str | None = None) -> DataFrame:
-    """The winner of each key: most distinct voters, then gated candidates, then the best (least) rank, then the smaller candidate. ``agreement``: unanimous, majority, split or single."""
+    """The winner of each key: most distinct voters, then gated candidates, then the best (least) rank, then the smaller candidate.
+
+    ``agreement``: single (one vote), unanimous (one candidate), tiebreak (several have the most votes) or majority.
+    """
     votes = ballots.where(F.col(candidate).isNotNull()).groupBy(*keys, candidate).agg(F.count_distinct(voter).alias("votes"), F.min(rank).alias("best_rank"), (F.max(F.col(gate).cast("int")) if gate else F.lit(0)).alias("gate"))
     order = F.struct(-F.col("votes"), -F.col("gate"), F.col("best_rank"), F.col(candidate))
-    out = votes.groupBy(*keys).agg(F.min_by(F.struct(F.col(candidate).alias("c"), "votes", "best_rank"), order).alias("_w"), F.sum("votes").alias("total"), F.count("*").alias("candidates"))
-    won = F.col("_w.votes")
-    agreement = F.when(F.col("total") == 1, "single").when(F.col("candidates") == 1, "unanimous").when(2 * won > F.col("total"), "majority").otherwise("split")
-    return out.select(*keys, F.col("_w.c").alias("winner"), won.alias("votes"), "total", F.col("_w.best_rank").alias("best_rank"), agreement.alias("agreement"))
+    out = votes.groupBy(*keys).agg(
+        F.min_by(F.struct(F.col(candidate).alias("c"), "votes", "best_rank"), order).alias("_w"), F.sum("votes").alias("total"), F.count("*").alias("candidates"), F.collect_list("votes").alias("_all"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(candidate, "votes")))).alias("vote_map"),
+    )
+    top = F.size(F.filter("_all", lambda v: v == F.col("_w.votes")))
+    agreement = F.when(F.col("total") == 1, "single").when(F.col("candidates") == 1, "unanimous").when(top > 1, "tiebreak").otherwise("majority")
+    return out.select(*keys, F.col("_w.c").alias("winner"), F.col("_w.votes").alias("votes"), "total", F.col("_w.best_rank").alias("best_rank"), agreement.alias("agreement"), "vote_map")
 
 
 def fuse_by_priority(rows: DataFrame, keys: Sequence[str], rank: str, order: Sequence[str]) -> DataFrame:

@@ -378,12 +378,12 @@ def modal_trailing_window(t):
 
 
 @query("""WITH v AS (SELECT user_id, ts::DATE AS day, event_type AS c, count(DISTINCT hour(ts)) AS votes, min(hour(ts)) AS best_rank, max((value > 40)::INT) AS gate FROM events GROUP BY ALL),
-    s AS (SELECT *, sum(votes) OVER p AS total, count(*) OVER p AS k FROM v WINDOW p AS (PARTITION BY user_id, day))
-    SELECT user_id, day, c AS winner, votes, total::BIGINT AS total, best_rank::INT AS best_rank, CASE WHEN total = 1 THEN 'single' WHEN k = 1 THEN 'unanimous' WHEN 2 * votes > total THEN 'majority' ELSE 'split' END AS agreement
+    s AS (SELECT *, sum(votes) OVER p AS total, count(*) OVER p AS k, max(votes) OVER p AS top, count(*) OVER (PARTITION BY user_id, day, votes) AS peers FROM v WINDOW p AS (PARTITION BY user_id, day))
+    SELECT user_id, day, c AS winner, votes, total::BIGINT AS total, best_rank::INT AS best_rank, CASE WHEN total = 1 THEN 'single' WHEN k = 1 THEN 'unanimous' WHEN peers > 1 THEN 'tiebreak' ELSE 'majority' END AS agreement
     FROM s QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY votes DESC, gate DESC, best_rank, c) = 1""")
 def plurality_vote(t):
     e = t("events").select("user_id", F.to_date("ts").alias("day"), C("event_type").alias("c"), F.hour("ts").alias("voter"), (C("value") > 40).alias("gate"))
-    return aggs.plurality(e.withColumn("rank", C("voter")), ["user_id", "day"], "c", "voter", "rank", "gate")
+    return aggs.plurality(e.withColumn("rank", C("voter")), ["user_id", "day"], "c", "voter", "rank", "gate").drop("vote_map")
 
 
 @query("SELECT user_id, list_sort(list(event_type || ':' || n)) AS votes FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY user_id")
