@@ -100,7 +100,7 @@ def identities(lines: Sequence[str]) -> list[str]:
 
 def ndjson(spark: SparkSession, path: str, schema: StructType, required: Sequence[str], most_dropped: float = 0.01) -> DataFrame:
     """Lines of JSON of a schema. Malformed lines and such without a required field are dropped; more than a share of them fails."""
-    whole = StructType(schema.fields).add("_corrupt", "string")
+    whole = StructType([*schema.fields]).add("_corrupt", "string")
     df = spark.read.schema(whole).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
     bad = F.col("_corrupt").isNotNull()
     for c in required:
@@ -131,21 +131,22 @@ def trace_points(doc: dict) -> list[tuple]:
     return out
 
 
-def _points(docs: Iterator[bytes]) -> pd.DataFrame:
-    rows = []
+def _points(docs: Iterator[bytes]) -> Iterator[pd.DataFrame]:
+    """A frame for each document with points."""
+    names = [f.split()[0] for f in TRACE_POINT.split(", ")]
     for raw in docs:
         try:
-            rows += trace_points(json.loads(maybe_gzip(raw)))
+            rows = trace_points(json.loads(maybe_gzip(raw)))
         except (ValueError, OSError, EOFError):  # a corrupt member gives no points
             continue
-    names = [f.split()[0] for f in TRACE_POINT.split(", ")]
-    return pd.DataFrame(rows, columns=names).astype({"i": "int32", "flags": "int32"}) if rows else pd.DataFrame({n: [] for n in names})
+        if rows:
+            yield pd.DataFrame(rows, columns=names).astype({"i": "int32", "flags": "int32"})
 
 
 def traces(spark: SparkSession, path: str) -> DataFrame:
     """Points of trace documents, plain or gzipped JSON, a file each."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content")
-    return files.mapInPandas(lambda it: (_points(bytes(c) for c in pdf["content"]) for pdf in it), TRACE_POINT)
+    return files.mapInPandas(lambda it: (points for pdf in it for points in _points(bytes(c) for c in pdf["content"])), TRACE_POINT)
 
 
 def traces_tar(spark: SparkSession, path: str) -> DataFrame:
@@ -158,7 +159,7 @@ def traces_tar(spark: SparkSession, path: str) -> DataFrame:
                 with tarfile.open(fileobj=io.BytesIO(bytes(content)), mode="r|*") as tar:
                     for m in tar:
                         if m.isfile():
-                            yield _points(iter([tar.extractfile(m).read()]))
+                            yield from _points(iter([tar.extractfile(m).read()]))
 
     return files.mapInPandas(run, TRACE_POINT)
 
