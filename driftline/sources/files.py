@@ -9,11 +9,12 @@ import json
 import tarfile
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class ContractError(ValueError):
@@ -171,15 +172,29 @@ def zip_csv(raw: bytes, member: str) -> list[dict[str, str]]:
 
 
 def xml_messages(df: DataFrame, xml: str, message: str, attributes: Mapping[str, str], texts: Mapping[str, str]) -> DataFrame:
-    """A row for each ``message`` element of the XML text in a column, whatever its namespace: attributes and texts of descendants by local name."""
-    at = lambda path: f"/*/descendant-or-self::*[local-name()='{message}']{path}"
-    fields = {k: at(f"/@*[local-name()='{a}']") for k, a in attributes.items()}
-    each = df.select("*", F.explode(F.sequence(F.lit(1), F.xpath_int(xml, F.lit(f"count({at('')})")))).alias("_i")).where(F.xpath_int(xml, F.lit(f"count({at('')})")) > 0)
-    cols = [_nth(xml, message, f"/@*[local-name()='{a}']").alias(k) for k, a in attributes.items()]
-    cols += [_nth(xml, message, "".join(f"//*[local-name()='{p}']" for p in t.split("/"))).alias(k) for k, t in texts.items()]
-    return each.select(*df.columns, *cols) if fields or texts else each.drop("_i")
-
-
-def _nth(xml: str, message: str, path: str):
-    """The text of a path under the ``_i``-th message; blank is null."""
-    return F.nullif(F.expr(f"xpath_string(`{xml}`, concat(\"(//*[local-name()='{message}'])[\", cast(_i as string), \"]{path}\"))"), F.lit(""))
+    """A row for each ``message`` element of the XML text in a column, whatever its namespace: attributes, and texts of descendants by a path of local names. Blank is null; text that is no XML has no message."""
+    names = [*attributes, *texts]
+
+    def local(e) -> str:
+        return e.tag.rpartition("}")[2]
+
+    def text_of(e, path: list[str]) -> str | None:
+        for step in path:
+            e = next((x for x in e.iter() if local(x) == step), None) if e is not None else None
+        return (e.text or "").strip() or None if e is not None else None
+
+    def run(it):
+        for pdf in it:
+            rows = []
+            for own, raw in zip(pdf.to_dict("records"), pdf[xml], strict=True):
+                try:
+                    root = ElementTree.fromstring(raw or "")
+                except ElementTree.ParseError:
+                    continue
+                for m in (x for x in root.iter() if local(x) == message):
+                    rows.append([*own.values(), *[m.get(a) or None for a in attributes.values()], *[text_of(m, t.split("/")) for t in texts.values()]])
+            if rows:
+                yield pd.DataFrame(rows, columns=[*pdf.columns, *names])
+
+    schema = StructType([*df.schema.fields, *[StructField(n, StringType()) for n in names]])
+    return df.mapInPandas(run, schema)
