@@ -106,7 +106,7 @@ def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_i
         own, out, n = f"{root}/.{context.taskAttemptId()}-{name}", None, 0
         for b in batches:
             for r in b.to_pylist():
-                out = out or fs.open_output_stream(own)
+                out = out or fs.open_output_stream(own, compression=None)
                 out.write(capture_records(r["page_id"], r["url"], r["html"].encode(), r["refers_to"], date))
                 n += 3
         if out:
@@ -159,7 +159,7 @@ def read_warc(spark: SparkSession, files: DataFrame, with_blocks: bool = True) -
                 fs, name = store(path)
                 some: list[dict] = []
                 size = 0
-                with fs.open_input_stream(name) as stream:
+                with fs.open_input_stream(name, compression=None) as stream:
                     for h, block in read_records(stream):
                         some.append(row(h, block))
                         size += len(block)
