@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: An Arrow batch that Python gets holds about so many bytes, however long the texts are.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,6 +38,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of results that nothing refers to any more, before the next large shuffle adds its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder, through Hadoop's file system."""
     jvm = spark.sparkContext._jvm
@@ -61,6 +71,37 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+def chunked(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts cut at ASCII white space: (offsets, codes, distinct chunks). Text i has the chunks ``codes[offsets[i]:offsets[i + 1]]``, among which an empty one
+    may stand at its ends. Arrow cuts and numbers; Python sees each distinct chunk once. A null text has no chunk. ``lower`` folds A-Z."""
+    column = column.fill_null("")
+    if lower:
+        column = pc.ascii_lower(column)
+    cut = pc.ascii_split_whitespace(column)
+    coded = cut.flatten().dictionary_encode()
+    offsets = cut.offsets.to_numpy().astype(np.int64)
+    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+
+
+def joined(values: list[bytes], offsets: np.ndarray, codes: np.ndarray) -> list[memoryview]:
+    """For each text the concatenation of its chunks' values."""
+    lengths = np.fromiter(map(len, values), np.int64, len(values))
+    ends = np.concatenate([[0], np.cumsum(lengths[codes])])[offsets]
+    whole = pa.array(values, pa.binary()).take(pa.array(codes)) if len(codes) else None
+    data = memoryview(whole.buffers()[2] or b"") if whole is not None else memoryview(b"")
+    return [data[a:z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def summed(values: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """For each text the sum of its chunks' values (a row of numbers, or one number, each). A column at a time, which bounds the memory."""
+    columns = values.reshape(len(values), -1)
+    out = np.empty((len(offsets) - 1, columns.shape[1]))
+    for k in range(columns.shape[1]):
+        total = np.concatenate([[0.0], np.cumsum(columns[:, k][codes])])
+        out[:, k] = total[offsets[1:]] - total[offsets[:-1]]
+    return out.reshape(len(offsets) - 1, *values.shape[1:])
+
+
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

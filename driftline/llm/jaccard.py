@@ -3,11 +3,12 @@
 1. A document's set is its distinct word n-grams (64-bit hashes). Equal sets are one class with one representative.
 2. A pair that reaches the threshold shares an n-gram among the rarest (1 - t) |set| + 1 of each (prefix bound). Any common
    order will do for that; frequent n-grams come last, found by counts over all documents. Documents that share a prefix
-   n-gram and have neighbouring sizes (size bound) are tied to the first of them; the ties' components are candidate clusters.
+   n-gram are tied if neither their sizes (size bound) nor the parity maps of their sets (a bound of the sets' difference) rule out a link; the ties' components are candidate clusters.
 3. In a cluster, document by n-gram incidence is multiplied by its transpose in blocks: blocks of columns within a task,
-   tiles of at most ``BLOCK`` documents over tasks for large clusters, only between sizes that can reach the threshold. Overlap
+   tiles of about ``BLOCK`` documents over tasks for large clusters, only between sizes that can reach the threshold. Overlap
    counts accumulate, and a product stops when what is left of the columns can lift no pair to its bound.
-4. A task sends the links' spanning forest, not all pairs; forests of clusters of several tiles meet in a last round of components.
+4. A task sends the links' spanning forest, not all pairs. In a large cluster, first each block is multiplied by itself and a few anchors; then blocks of documents outside its
+   largest component meet all others that they could link with. Pairs inside one component need no further product.
 
 Exact but for collisions of 64-bit hashes. Defined results: without words or text a set is empty and linked with nothing;
 with fewer than n words the whole sequence is one n-gram. Repeated ids are one node. A row without id has a null component.
@@ -19,47 +20,48 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, small_batches, table, texts
+from .common import chunked, materialize, mix64, small_batches, table
 from .components import connected_components
 
 #: Documents of a tile, columns of a block.
 BLOCK, COLUMNS = 512, 4096
+#: Least bits of a parity map; documents of an n-gram that are compared with each other.
+PARITY, LIST = 1024, 512
+#: Documents of a band that go to all its blocks.
+ANCHORS = 8
 #: A frequent n-gram has a count of at least this share of documents: at most (mean set size) / SHARE of them.
 SHARE, LOCAL = 1 / 2000, 4
 _MUL = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
-_words: dict[bytes, int] = {}
 
 
-def shingle_sets(many: list[str], n: int) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the word n-grams of each text; words end at ASCII white space, A-Z is folded."""
-    if len(_words) > 500_000:
-        _words.clear()
-    cut = [t.encode().lower().split() for t in many]
-    known = _words
-    for w in {w for ws in cut for w in ws if w not in known}:
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    sizes = np.array([len(ws) for ws in cut], dtype=np.int64)
-    words = np.fromiter((known[w] for ws in cut for w in ws), np.uint64, int(sizes.sum()))
+    offsets, codes, chunks = chunked(column, lower=True)
+    filled = np.fromiter(map(bool, chunks), bool, len(chunks))[codes] if chunks else np.zeros(0, bool)
+    if not filled.all():  # empty chunks at the ends of texts are no words
+        offsets, codes = np.concatenate([[0], np.cumsum(filled)])[offsets], codes[filled]
+    words = np.fromiter(map(xxhash.xxh3_64_intdigest, chunks), np.uint64, len(chunks))[codes] if chunks else np.zeros(0, np.uint64)
     grams = _roll(words, n)
-    out, at = [], 0
-    for size in sizes:
+    out = []
+    for at, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        size = end - at
         if size >= n:
-            own = np.unique(grams[at : at + size - n + 1])
+            own = np.sort(grams[at : at + size - n + 1])
+            own = own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif size:
-            own = _roll(np.concatenate([words[at : at + size], np.full(n - size, size, np.uint64)]), n)[:1]
+            own = _roll(np.concatenate([words[at:end], np.full(n - size, size, np.uint64)]), n)[:1]
         else:
             own = grams[:0]
         out.append(own)
-        at += size
     return out
 
 
 def _roll(words: np.ndarray, n: int) -> np.ndarray:
     if len(words) < n:
-        return words[:0]
+        return words[:0].view(np.int64)
     h = words[: len(words) - n + 1]
     for k in range(1, n):
         h = mix64(h * _MUL[0] + _MUL[1]) + words[k : len(words) - n + 1 + k] * _MUL[2]
@@ -91,7 +93,7 @@ def frequent_ngrams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(grams[use]), pa.array(counts[use].astype(np.int64))], schema=schema)
 
         for b in batches:
-            sets = shingle_sets(texts(b), n)
+            sets = shingle_sets(b.column("text"), n)
             held += sets
             size += sum(map(len, sets))
             if size > 2_000_000:
@@ -106,9 +108,9 @@ def frequent_ngrams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, sig, prefix): size, 128-bit signature and rarest n-grams of each document's set."""
+    """(doc_id, n_shingles, sig, bits, prefix): size, 128-bit signature, parity bits and rarest n-grams of each document's set."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, n))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("bits", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
     def rare(s: np.ndarray) -> list[int]:
         grams, counts = shared.value
@@ -120,57 +122,143 @@ def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            sets = shingle_sets(texts(b), n)
-            yield table(schema, doc_id=b.column("doc_id").to_pylist(), n_shingles=list(map(len, sets)), sig=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], prefix=list(map(rare, sets)))
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig binary, prefix array<long>")
+            sets = shingle_sets(b.column("text"), n)
+            yield table(schema, doc_id=b.column("doc_id").to_pylist(), n_shingles=list(map(len, sets)), sig=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], bits=list(map(parity_bits, sets)), prefix=list(map(rare, sets)))
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig binary, bits binary, prefix array<long>")
+
+
+def parity_bits(s: np.ndarray) -> bytes:
+    """Of each residue of the hashes, whether an odd number of n-grams has it. Two such maps differ in at most as many bits as the sets in n-grams. Larger sets have
+    longer maps; a map folded in halves by exclusive or is that of half the length."""
+    size = PARITY
+    while size < PARITY << 8 and size * 2 < len(s):
+        size *= 4
+    return np.packbits((np.bincount(s.view(np.uint64) % np.uint64(size), minlength=size) & 1).astype(np.uint8)).tobytes() if len(s) else b""
+
+
+def may_link(n1: int, bits1: bytes, n2: int, bits2: bytes, percent: int) -> bool:
+    """False only where sets of these sizes and parity maps cannot reach the threshold."""
+    low, high = (n1, n2) if n1 < n2 else (n2, n1)
+    if 100 * low < percent * high:
+        return False
+    while len(bits1) != len(bits2):
+        a, b = (bits1, bits2) if len(bits1) > len(bits2) else (bits2, bits1)
+        # residues of a quarter of the length: four parts fall on one
+        q = len(a) // 4
+        parts = [int.from_bytes(a[k * q : (k + 1) * q]) for k in range(4)]
+        bits1, bits2 = (parts[0] ^ parts[1] ^ parts[2] ^ parts[3]).to_bytes(q), b
+    differ = (int.from_bytes(bits1) ^ int.from_bytes(bits2)).bit_count()
+    return differ <= n1 + n2 - 2 * needed(n1, n2, percent)
+
+
+def list_forest(rows: list[tuple[int, int, bytes]], percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs of one n-gram's documents (size, id, parity map), sorted by size, that may link."""
+    root = list(range(len(rows)))
+    out = []
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for j, (n2, d2, b2) in enumerate(rows):
+        for i in range(j - 1, -1, -1):
+            n1, d1, b1 = rows[i]
+            if 100 * n1 < percent * n2:
+                break
+            if (a := find(i)) != (b := find(j)) and may_link(n1, b1, n2, b2, percent):
+                root[b] = a
+                if d1 != d2:
+                    out.append((d1, d2))
+    return out
 
 
 def prefix_ties(reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b): documents that share a prefix n-gram, each tied to the first of its run of neighbouring sizes."""
+    """(a, b): ties of documents that share a prefix n-gram and may link, a forest for each n-gram. Of n-grams with over ``LIST`` documents, each is tied to the first of its run of neighbouring sizes."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        last = (None, 0, 0)  # n-gram, size and hub of the row before
+        gram, rows, hub, last = None, [], None, 0
+        found: set[tuple[int, int]] = set()
         for b in batches:
-            gram, size, doc = (b.column(k).to_numpy() for k in ("gram", "n", "rep"))
-            if not len(gram):
-                continue
-            before_gram = np.concatenate([[gram[0] if last[0] is None else last[0]], gram[:-1]])
-            before_size = np.concatenate([[last[1]], size[:-1]])
-            new = (gram != before_gram) | (100 * before_size < percent * size)
-            new[0] |= last[0] is None
-            start = np.maximum.accumulate(np.where(new, np.arange(len(gram)), -1))
-            hub = np.where(start >= 0, doc[np.maximum(start, 0)], last[2])
-            last = (gram[-1], size[-1], hub[-1])
-            use = hub != doc
-            if use.any():
-                pairs = np.unique(np.stack([hub[use], doc[use]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
-
-    entries = reps.select(F.explode("prefix").alias("gram"), F.col("n_shingles").alias("n"), "rep")
-    dealt = entries.repartition("gram").sortWithinPartitions("gram", "n", "rep")
+            for g, n, d, bits in zip(*(b.column(k).to_pylist() for k in ("gram", "n", "rep", "bits")), strict=True):
+                if g != gram:
+                    found.update(list_forest(rows, percent))
+                    gram, rows, hub, last = g, [], None, 0
+                if hub is None and len(rows) < LIST:
+                    rows.append((n, d, bits))
+                    continue
+                for m, e in [(r[0], r[1]) for r in rows] + [(n, d)]:
+                    if hub is None or 100 * last < percent * m:
+                        hub = e
+                    elif hub != e:
+                        found.add((hub, e))
+                    last = m
+                rows = []
+            if len(found) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+                found.clear()
+        found.update(list_forest(rows, percent))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+
+    entries = reps.select(F.explode("prefix").alias("gram"), "rep")
+    shared = entries.withColumn("k", F.count("*").over(Window.partitionBy("gram"))).where("k > 1").select("gram", "rep")
+    described = shared.join(reps.select("rep", F.col("n_shingles").alias("n"), "bits"), "rep")
+    dealt = described.repartition("gram").sortWithinPartitions("gram", "n", "rep")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def tiles(members: DataFrame, percent: int) -> DataFrame:
-    """(rep, cluster, tile, side, whole): where each document of a cluster is multiplied. Clusters of up to ``BLOCK`` are one tile; larger ones are
-    cut into bands of sizes (a pair's sizes lie in one or two neighbouring bands) and blocks by a hash, and each block meets the blocks it can link with."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    banded = members.withColumn("band", band)
+def _banded(members: DataFrame, percent: int) -> DataFrame:
+    """A pair's sizes lie in one band or in two neighbouring ones."""
+    return members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int"))
+
+
+def _upto(c: str):
+    """0 to the value of a column less one; empty for null."""
+    return F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def first_tiles(members: DataFrame, percent: int) -> DataFrame:
+    """(rep, cluster, n, whole, tiles): a cluster of up to ``BLOCK`` documents is one tile (``whole``). Larger ones are cut into bands of sizes and blocks by a hash,
+    a document to one block; about ``ANCHORS`` documents of a band go to all blocks that they can link with, to tie those together."""
+    banded = _banded(members, percent)
     sizes = banded.groupBy("cluster", "band").agg(F.count("*").alias("k"))
     whole = sizes.groupBy("cluster").agg(F.sum("k").alias("total"))
-    cuts = sizes.withColumn("cuts", F.ceil(F.col("k") / BLOCK).cast("int")).select("cluster", "band", "cuts")
+    cuts = sizes.withColumn("cuts", F.ceil(F.col("k") / BLOCK).cast("int"))
     near = lambda d, name: cuts.select("cluster", (F.col("band") + d).alias("band"), F.col("cuts").alias(name))
     plan = cuts.join(near(-1, "above"), ["cluster", "band"], "left").join(near(1, "below"), ["cluster", "band"], "left").join(whole, "cluster")
-    at = banded.join(plan, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
-    name = lambda b1, s1, b2, s2: F.concat_ws(":", b1, s1, b2, s2)
-    upto = lambda c: F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
-    own = F.transform(upto("cuts"), lambda s: name(F.col("band"), F.least(s, F.col("block")), F.col("band"), F.greatest(s, F.col("block"))))
-    up = F.transform(upto("above"), lambda s: name(F.col("band"), F.col("block"), F.col("band") + 1, s))
-    down = F.transform(upto("below"), lambda s: name(F.col("band") - 1, s, F.col("band"), F.col("block")))
-    many = F.concat(own, up, down)
-    return at.select("rep", "cluster", (F.col("total") <= BLOCK).alias("whole"), F.explode(F.when(F.col("total") <= BLOCK, F.array(F.lit("-"))).otherwise(many)).alias("tile"))
+    at = banded.join(plan, ["cluster", "band"])
+    name = lambda d: lambda s: F.concat_ws(":", F.col("band") + d, s)
+    everywhere = F.concat(F.transform(_upto("cuts"), name(0)), F.transform(_upto("above"), name(1)), F.transform(_upto("below"), name(-1)))
+    anchor = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("k") / ANCHORS)) == 0
+    own = F.array(name(0)(F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")))
+    small = F.col("total") <= BLOCK
+    return at.select("rep", "cluster", "n", small.alias("whole"), F.when(small, F.array(F.lit("-"))).when(anchor, everywhere).otherwise(own).alias("tiles"))
+
+
+def last_tiles(members: DataFrame, percent: int) -> DataFrame:
+    """(rep, tiles) of members (rep, cluster, n, component) of large clusters whose blocks' components are not one yet. Documents of a cluster's largest component are linked
+    already, so only the others' blocks meet all blocks of their own and the neighbouring bands."""
+    counted = members.groupBy("cluster", "component").agg(F.count("*").alias("k"))
+    largest = counted.groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("components")).where("components > 1").select("cluster", F.col("m.component").alias("largest"))
+    banded = _banded(members.join(largest, "cluster"), percent).withColumn("other", F.col("component") != F.col("largest"))
+    cut = lambda test: F.ceil(F.count_if(test) / BLOCK).cast("int")
+    cuts = banded.groupBy("cluster", "band").agg(cut(F.col("other")).alias("o0"), cut(~F.col("other")).alias("g0"))
+    near = lambda d, mark: cuts.select("cluster", (F.col("band") + d).alias("band"), F.col("o0").alias(f"o{mark}"), F.col("g0").alias(f"g{mark}"))
+    plan = cuts.join(near(-1, "1"), ["cluster", "band"], "left").join(near(1, "2"), ["cluster", "band"], "left")
+    at = banded.join(plan, ["cluster", "band"])
+    block = F.pmod(F.xxhash64("rep"), F.when(F.col("other"), F.col("o0")).otherwise(F.col("g0"))).cast("int")
+    own = F.concat_ws(":", F.when(F.col("other"), "o").otherwise("g"), "band", block)
+
+    def meet(kind: str, mark: str, d: int):
+        return F.transform(_upto(kind + mark), lambda s: F.array_join(F.array_sort(F.array(own, F.concat_ws(":", F.lit(kind), F.col("band") + d, s))), "|"))
+
+    others = F.concat(*[meet("o", m, d) for m, d in (("0", 0), ("1", 1), ("2", -1))])
+    rest = F.concat(*[meet("g", m, d) for m, d in (("0", 0), ("1", 1), ("2", -1))])
+    return at.select("rep", F.array_distinct(F.when(F.col("other"), F.concat(others, rest)).otherwise(others)).alias("tiles"))
 
 
 def link_forest(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -211,6 +299,32 @@ def link_forest(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[t
     return forest
 
 
+def _multiply(placed: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b, whole): the links' spanning forest of every tile of (rep, cluster, tile, whole, text)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("whole", pa.bool_())])
+
+    def run(batches):
+        # rows come sorted by tile; a tile is multiplied when its last row has come
+        key, ids, held, whole = None, [], [], True
+        found: list[tuple[int, int, bool]] = []
+        for b in batches:
+            for cluster, tile, rep, w, s in zip(*(b.column(c).to_pylist() for c in ("cluster", "tile", "rep", "whole")), shingle_sets(b.column("text"), n), strict=True):
+                if (cluster, tile) != key:
+                    found += [(*p, whole) for p in link_forest(np.array(ids), held, percent)] if len(ids) > 1 else []
+                    key, ids, held, whole = (cluster, tile), [], [], w
+                    if len(found) > 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+                        found = []
+                ids.append(rep)
+                held.append(s)
+        found += [(*p, whole) for p in link_forest(np.array(ids), held, percent)] if len(ids) > 1 else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+
+    dealt = placed.select("rep", "cluster", "tile", "whole", "text").repartition("cluster", "tile").sortWithinPartitions("cluster", "tile", "rep")
+    return dealt.mapInArrow(run, "a long, b long, whole boolean").where("a <> b")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id): for each row the size of its set and the smallest id that links reach from it."""
     spark = docs.sparkSession
@@ -224,40 +338,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = filled.join(member.where("doc_id = rep").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
     clusters = connected_components(prefix_ties(reps, percent)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     sizes = filled.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-    placed = tiles(sizes.join(clusters, "rep").distinct(), percent)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("whole", pa.bool_())])
-
-    def reshingle(batches):
-        out = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
-        for b in batches:
-            yield table(out, rep=b.column("rep").to_pylist(), shingles=[s.tobytes() for s in shingle_sets(texts(b), n)])
-
-    candidates = rows.withColumnRenamed("doc_id", "rep").join(clusters.select("rep"), "rep", "left_semi")
-    shipped = candidates.mapInArrow(reshingle, "rep long, shingles binary").join(placed, "rep")
-
-    def multiply(batches):
-        # rows come sorted by tile; a tile is multiplied when its last row has come
-        key, ids, sets = None, [], []
-        found: list[tuple[int, int, bool]] = []
-        for b in batches:
-            for r in b.to_pylist():
-                if (now := (r["cluster"], r["tile"])) != key:
-                    found += [(*p, whole) for p in link_forest(np.array(ids), sets, percent)] if len(ids) > 1 else []
-                    key, ids, sets, whole = now, [], [], r["whole"]
-                    if len(found) > 50_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
-                        found = []
-                ids.append(r["rep"])
-                sets.append(np.frombuffer(r["shingles"], np.int64))
-        found += [(*p, whole) for p in link_forest(np.array(ids), sets, percent)] if len(ids) > 1 else []
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
-
-    dealt = shipped.repartition("cluster", "tile").sortWithinPartitions("cluster", "tile", "rep")
-    links = materialize(dealt.mapInArrow(multiply, "a long, b long, whole boolean"), "links")
-    joined = connected_components(links.where("not whole")).select(F.col("node").alias("rep"), F.col("component"))
-    single = links.where("whole").select(F.col("b").alias("rep"), F.col("a").alias("component")).where("rep <> component").distinct()
-    roots = joined.unionByName(single)
+    placed = first_tiles(sizes.join(clusters, "rep").distinct(), percent)
+    # the texts of candidates, written once for both rounds; they are lighter than their sets
+    candidates = materialize(rows.withColumnRenamed("doc_id", "rep").join(placed, "rep"), "candidates")
+    links = materialize(_multiply(candidates.select("rep", "cluster", "whole", "text", F.explode("tiles").alias("tile")), n, percent), "links")
+    single = links.where("whole").select(F.col("b").alias("rep"), F.col("a").alias("component"))
+    large = candidates.where("not whole").select("rep", "cluster", "n").distinct()
+    roots = single
+    if large.limit(1).count():
+        tied = connected_components(links.where("not whole")).select(F.col("node").alias("rep"), "component")
+        members = large.join(tied, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        rest = candidates.where("not whole").select("rep", "cluster", "whole", "text").join(last_tiles(members, percent), "rep").withColumn("tile", F.explode("tiles"))
+        more = materialize(_multiply(rest, n, percent), "links")
+        joined = connected_components(links.where("not whole").unionByName(more))
+        roots = single.unionByName(joined.select(F.col("node").alias("rep"), "component"))
     grouped = member.select("doc_id", "rep").distinct().join(roots, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     return sets.select("doc_id", "n_shingles").join(grouped, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
