@@ -6,7 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from driftline.plans import bindings
+from driftline.plans import bindings, streams
+
+QUERIES, SQL = bindings.QUERIES | streams.QUERIES, bindings.ORACLE_SQL | streams.ORACLE_SQL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -39,10 +41,10 @@ def rows(df):
     return sorted(tuple(map(shown, r)) for r in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(bindings.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, duck, sf, name):
-    got = bindings.QUERIES[name](spark, sf).toPandas()
-    want = duck.execute(bindings.ORACLE_SQL[name]).df()
+    got = QUERIES[name](spark, sf).toPandas()
+    want = duck.execute(SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
 
@@ -66,3 +68,8 @@ def test_entry_imports_and_runs(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_estimator_runs(spark, sf):
+    got = streams.estimator(spark, sf)
+    assert got.where("kind = 'head'").count() == got.select("flight_id").distinct().count() > 0 and got.where("kind = 'gap'").count() > 0
