@@ -102,7 +102,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     return materialize(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "labelled")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds: float = 3.0, least_share: float = 0.004, most: int = 5000) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds: float = 3.0, least_share: float = 0.01, most: int = 5000) -> Lexicon:
     small_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, sample)
     kinds = {bool(r[0]): r[1] for r in rows.groupBy(F.col("toxic") > 0).count().collect()}
@@ -119,7 +119,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds:
 
         return lambda it: flushing_counts(it, add, schema, 400_000)
 
-    least = max(3, least_share * pos)
+    least = max(5, least_share * pos)
     own = rows.where("toxic > 0").mapInArrow(counted(None), "stem string, toxic boolean, n long").groupBy("stem").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     toxic = {r.stem: r.n for r in own.collect()}  # at most (mean stems of a row) / least_share
     others = rows.where("toxic = 0").mapInArrow(counted(set(toxic)), "stem string, toxic boolean, n long").groupBy("stem").agg(F.sum("n").alias("n"))
