@@ -15,18 +15,21 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import string
+import struct
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, texts
+from .common import chunked, joined, small_batches, summed, table
 
 #: Remembered chunks and pieces; at the limit the memory is emptied.
-CHUNKS, PIECES = 400_000, 500_000
+CHUNKS, PIECES = 400_000, 300_000
 _SPACE = regex.compile(r"\s+")
 
 
@@ -67,8 +70,13 @@ class Pieces:
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def of(self, chunk: str) -> list[str | int]:
+        low = chunk.lower() if chunk.isascii() else self.normal(chunk)
+        word = low.rstrip(string.punctuation)
+        # a word, or one with a run of ASCII marks behind it, needs no pattern
+        if word.isalpha():
+            return [word] if len(word) == len(low) else [word, low[len(word) :]]
         if self.special is None or not self.special.search(chunk):
-            return self.find(self.normal(chunk))
+            return self.find(low)
         out: list[str | int] = []
         at = 0
         for m in self.special.finditer(chunk):
@@ -158,43 +166,59 @@ def encode_pieces(vocabulary: Vocabulary, pieces: list[str]) -> list[list[int]]:
 
 
 class ChunkEncoder:
-    """Remembers, for each chunk, ``make(ids)``; ``encode(pieces)`` gives the ids of pieces not seen before."""
+    """Remembers chunks. ``encode(pieces)`` gives the ids of pieces not seen before, ``make(ids)`` what a piece is worth, ``combine`` that of a chunk from its pieces' (several, or none)."""
 
-    def __init__(self, pieces: Pieces, encode, make):
-        self.pieces, self.encode, self.make = pieces, encode, make
-        self.known: dict[bytes, object] = {}
-        self.ids: dict[str, list[int]] = {}
+    def __init__(self, pieces: Pieces, encode, make, combine=b"".join):
+        self.pieces, self.encode, self.make, self.combine = pieces, encode, make, combine
+        self.known: dict[str, object] = {}
+        self.made: dict[str | int, object] = {}
 
-    def __call__(self, many: list[str]) -> list[list]:
-        """For each text the made values of its chunks, in order."""
+    def __call__(self, chunks: list[str]) -> list:
+        """The values of distinct chunks."""
         if len(self.known) > CHUNKS:
             self.known.clear()
-        if len(self.ids) > PIECES:
-            self.ids.clear()
-        known = self.known
-        cut = [t.encode().split() for t in many]
-        fresh = {c for chunks in cut for c in chunks if c not in known}
-        split = {c: self.pieces.of(c.decode()) for c in fresh}
-        wanted = list({p for ps in split.values() for p in ps if p.__class__ is str and p not in self.ids})
-        self.ids.update(zip(wanted, self.encode(wanted), strict=True))
-        ids = self.ids
-        for c, ps in split.items():
-            known[c] = self.make([i for p in ps for i in (ids[p] if p.__class__ is str else (p,))])
-        return [[known[c] for c in chunks] for chunks in cut]
+        if len(self.made) > PIECES:
+            self.made.clear()
+        known, made = self.known, self.made
+        fresh = [c for c in chunks if c not in known]
+        if fresh:
+            split = list(map(self.pieces.of, fresh))
+            wanted = list({p for ps in split for p in ps if p not in made})
+            words = [p for p in wanted if p.__class__ is str]
+            made.update(zip(words, map(self.make, self.encode(words)), strict=True))
+            made.update((p, self.make([p])) for p in wanted if p.__class__ is int)
+            for c, ps in zip(fresh, split, strict=True):
+                known[c] = made[ps[0]] if len(ps) == 1 else self.combine([made[p] for p in ps])
+        return list(map(known.__getitem__, chunks))
+
+
+def text_chunks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Chunks of a batch; A-Z is folded beforehand where no text could hold an added token, which has its case."""
+    return chunked(column, lower=not pc.any(pc.match_substring(column, "<|")).as_py())
+
+
+def packer(code: str):
+    return lambda ids: struct.pack(f"<{len(ids)}{code}", *ids)
 
 
 _encoders: dict[tuple, ChunkEncoder] = {}
 
 
-def _encoder(path: str, kind: str) -> tuple[ChunkEncoder, Vocabulary]:
+def _encoder(path: str, kind: str) -> ChunkEncoder:
     """One for each vocabulary and Python worker; later tasks of the worker use it again."""
     if (path, kind) not in _encoders:
         v = Vocabulary(path)
-        if kind == "ids":
-            make = lambda ids: np.array(ids, "<i4").tobytes()
-        else:
-            make = lambda ids: (len(ids), " ".join(map(str, ids)), " ".join(v.tokens[i] for i in ids), np.array(ids, "<i4").tobytes() if kind == "all" else b"")
-        _encoders[path, kind] = ChunkEncoder(Pieces(v), lambda ps: encode_pieces(v, ps), make), v
+        tokens, pack = v.tokens, packer("i")
+
+        def parts(ids):
+            return len(ids), "".join([f"{i} " for i in ids]).encode(), "".join([tokens[i] + " " for i in ids]).encode(), pack(ids)
+
+        def combine(several):
+            n, *rest = zip(*several, strict=True) if several else ((), (), (), ())
+            return sum(n), *map(b"".join, rest)
+
+        own = (pack, b"".join) if kind == "ids" else (parts, combine)
+        _encoders[path, kind] = ChunkEncoder(Pieces(v), lambda ps: encode_pieces(v, ps), *own)
     return _encoders[path, kind]
 
 
@@ -204,14 +228,15 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        chunks, _ = _encoder(vocabulary, "ids")
+        encoder = _encoder(vocabulary, "ids")
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists([b"".join(cs) for cs in chunks(texts(b))])], schema=schema)
+            offsets, codes, chunks = text_chunks(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(joined(encoder(chunks), offsets, codes))], schema=schema)
 
     return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def _lists(each: list[bytes]) -> pa.ListArray:
+def _lists(each: list) -> pa.ListArray:
     """Arrow lists of 32-bit integers, without a Python object for each."""
     offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in each], dtype=np.int64)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(each), "<i4")))
@@ -233,14 +258,17 @@ def encode_digests(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", tex
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids array<int>]): ids and decoded text are made by the operator and hashed in the task."""
     small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * with_ids)
-    digest = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
 
     def run(batches):
-        chunks, _ = _encoder(vocabulary, "all" if with_ids else "digests")
+        encoder = _encoder(vocabulary, "digests")
         for b in batches:
-            made = [[c for c in cs if c[0]] for cs in chunks(texts(b))]
-            columns = [b.column("doc_id"), pa.array([sum(c[0] for c in cs) for cs in made], pa.int64()), pa.array([digest([c[1] for c in cs]) for cs in made], pa.string()), pa.array([digest([c[2] for c in cs]) for cs in made], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns + [_lists([b"".join([c[3] for c in cs]) for cs in made])] * with_ids, schema=schema)
+            offsets, codes, chunks = text_chunks(b.column("text"))
+            counts, ids, tokens, raw = zip(*encoder(chunks), strict=True) if chunks else ((), (), (), ())
+            # parts end in a space each, the last of which goes
+            digests = [[hashlib.sha256(m[:-1]).hexdigest() for m in joined(list(part), offsets, codes)] for part in (ids, tokens)]
+            n = summed(np.array(counts, np.float64), offsets, codes).astype(np.int64) if chunks else np.zeros(b.num_rows, np.int64)
+            columns = [b.column("doc_id"), pa.array(n), *[pa.array(d, pa.string()) for d in digests]]
+            yield pa.RecordBatch.from_arrays(columns + ([_lists(joined(list(raw), offsets, codes))] if with_ids else []), schema=schema)
 
     return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 

@@ -23,8 +23,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import ChunkEncoder, Pieces, Vocabulary
-from .common import new_path, small_batches, table, texts
+from .bpe import ChunkEncoder, Pieces, Vocabulary, packer, text_chunks
+from .common import joined, new_path, small_batches, table
 
 NULL_ID = -(2**63)
 END_ID = 1
@@ -59,7 +59,7 @@ def library_encoder(vocabulary: str, width: str) -> ChunkEncoder:
                 out += [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
         return out
 
-    return ChunkEncoder(Pieces(v), encode, lambda ids: np.array(ids, width).tobytes())
+    return ChunkEncoder(Pieces(v), encode, packer("I" if width == "<u4" else "H"))
 
 
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}
@@ -95,15 +95,15 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
             if not b.num_rows:
                 continue
             if not files:
-                files = {k: fs.open_output_stream(own) for k, (own, _) in names.items()}
+                files = {k: fs.open_output_stream(own, compression=None) for k, (own, _) in names.items()}
                 files["idx"].write(np.array([0], "<i8").tobytes())
             ids = [NULL_ID if i is None else i for i in b.column("doc_id").to_pylist()]
             first = ids[0] if first is None else first
             lengths = []
-            for chunks in encoder(texts(b)):
-                whole = b"".join(chunks) + end
-                files["bin"].write(whole)
-                lengths.append(len(whole) // size)
+            starts, codes, chunks = text_chunks(b.column("text"))
+            for own in joined(encoder(chunks), starts, codes):
+                files["bin"].write(own.tobytes() + end)
+                lengths.append(len(own) // size + 1)
             offsets = at + np.cumsum(np.array(lengths, "<i8"))
             files["idx"].write(offsets.astype("<i8").tobytes())
             files["doc"].write(np.array(ids, "<i8").tobytes())
