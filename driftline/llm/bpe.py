@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked, joined, small_batches, summed, table
+from .common import cache, chunked, joined, small_batches, table
 
 #: Remembered chunks and pieces; at the limit the memory is emptied.
 CHUNKS, PIECES = 400_000, 300_000
@@ -168,16 +168,16 @@ def encode_pieces(vocabulary: Vocabulary, pieces: list[str]) -> list[list[int]]:
 class ChunkEncoder:
     """Remembers chunks. ``encode(pieces)`` gives the ids of pieces not seen before, ``make(ids)`` what a piece is worth, ``combine`` that of a chunk from its pieces' (several, or none)."""
 
-    def __init__(self, pieces: Pieces, encode, make, combine=b"".join):
-        self.pieces, self.encode, self.make, self.combine = pieces, encode, make, combine
+    def __init__(self, pieces: Pieces, encode, make, combine=b"".join, room: tuple[int, int] = (CHUNKS, PIECES)):
+        self.pieces, self.encode, self.make, self.combine, self.room = pieces, encode, make, combine, room
         self.known: dict[str, object] = {}
         self.made: dict[str | int, object] = {}
 
     def __call__(self, chunks: list[str]) -> list:
         """The values of distinct chunks."""
-        if len(self.known) > CHUNKS:
+        if len(self.known) > self.room[0]:
             self.known.clear()
-        if len(self.made) > PIECES:
+        if len(self.made) > self.room[1]:
             self.made.clear()
         known, made = self.known, self.made
         fresh = [c for c in chunks if c not in known]
@@ -201,25 +201,15 @@ def packer(code: str):
     return lambda ids: struct.pack(f"<{len(ids)}{code}", *ids)
 
 
-_encoders: dict[tuple, ChunkEncoder] = {}
+_encoders: dict[str, tuple[ChunkEncoder, Vocabulary]] = cache()
 
 
-def _encoder(path: str, kind: str) -> ChunkEncoder:
+def _encoder(path: str) -> tuple[ChunkEncoder, Vocabulary]:
     """One for each vocabulary and Python worker; later tasks of the worker use it again."""
-    if (path, kind) not in _encoders:
+    if path not in _encoders:
         v = Vocabulary(path)
-        tokens, pack = v.tokens, packer("i")
-
-        def parts(ids):
-            return len(ids), "".join([f"{i} " for i in ids]).encode(), "".join([tokens[i] + " " for i in ids]).encode(), pack(ids)
-
-        def combine(several):
-            n, *rest = zip(*several, strict=True) if several else ((), (), (), ())
-            return sum(n), *map(b"".join, rest)
-
-        own = (pack, b"".join) if kind == "ids" else (parts, combine)
-        _encoders[path, kind] = ChunkEncoder(Pieces(v), lambda ps: encode_pieces(v, ps), *own)
-    return _encoders[path, kind]
+        _encoders[path] = ChunkEncoder(Pieces(v), lambda ps: encode_pieces(v, ps), packer("i")), v
+    return _encoders[path]
 
 
 def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,7 +218,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        encoder = _encoder(vocabulary, "ids")
+        encoder, _ = _encoder(vocabulary)
         for b in batches:
             offsets, codes, chunks = text_chunks(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(joined(encoder(chunks), offsets, codes))], schema=schema)
@@ -260,15 +250,16 @@ def encode_digests(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", tex
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches):
-        encoder = _encoder(vocabulary, "digests")
+        encoder, v = _encoder(vocabulary)
+        spoken = [[f"{i} ".encode() for i in range(v.size)], [(v.tokens.get(i, "") + " ").encode() for i in range(v.size)]]
         for b in batches:
             offsets, codes, chunks = text_chunks(b.column("text"))
-            counts, ids, tokens, raw = zip(*encoder(chunks), strict=True) if chunks else ((), (), (), ())
-            # parts end in a space each, the last of which goes
-            digests = [[hashlib.sha256(m[:-1]).hexdigest() for m in joined(list(part), offsets, codes)] for part in (ids, tokens)]
-            n = summed(np.array(counts, np.float64), offsets, codes).astype(np.int64) if chunks else np.zeros(b.num_rows, np.int64)
-            columns = [b.column("doc_id"), pa.array(n), *[pa.array(d, pa.string()) for d in digests]]
-            yield pa.RecordBatch.from_arrays(columns + ([_lists(joined(list(raw), offsets, codes))] if with_ids else []), schema=schema)
+            lists = _lists(joined(encoder(chunks), offsets, codes))
+            ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+            # ids and tokens are said with a space behind each, the last of which goes
+            digests = [[hashlib.sha256(m[:-1]).hexdigest() for m in joined(words, ends, ids)] for words in spoken]
+            columns = [b.column("doc_id"), pa.array(np.diff(ends)), *[pa.array(d, pa.string()) for d in digests]]
+            yield pa.RecordBatch.from_arrays(columns + [lists] * with_ids, schema=schema)
 
     return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 

@@ -66,8 +66,27 @@ def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+_caches: list[dict] = []
+
+
+def cache() -> dict:
+    """A dict that lives as long as its Python worker, until an operator that doesn't use it calls ``drop_caches``."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def drop_caches() -> None:
+    """Workers serve one operator after the other; what the last one remembered would add to the next one's memory."""
+    if any(_caches):
+        for c in _caches:
+            c.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A null text counts as empty."""
+    drop_caches()
     return [t or "" for t in batch.column(name).to_pylist()]
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import ChunkEncoder, Pieces, Vocabulary, packer, text_chunks
-from .common import joined, new_path, small_batches, table
+from .common import cache, joined, new_path, small_batches, table
 
 NULL_ID = -(2**63)
 END_ID = 1
@@ -62,7 +62,7 @@ def library_encoder(vocabulary: str, width: str) -> ChunkEncoder:
     return ChunkEncoder(Pieces(v), encode, packer("I" if width == "<u4" else "H"))
 
 
-_encoders: dict[tuple[str, str], ChunkEncoder] = {}
+_encoders: dict[tuple[str, str], ChunkEncoder] = cache()
 
 
 def id_width(vocabulary: str) -> str:
