@@ -23,13 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunked, materialize, mix64, small_batches, table
+from .common import chunked, drop_caches, materialize, mix64, release, small_batches, table
 from .components import connected_components
 
 #: Documents of a tile, columns of a block.
 BLOCK, COLUMNS = 512, 4096
 #: Least bits of a parity map; documents of an n-gram that are compared with each other.
-PARITY, LIST = 1024, 512
+PARITY, LIST = 512, 512
 #: Documents of a band that go to all its blocks.
 ANCHORS = 8
 #: A frequent n-gram has a count of at least this share of documents: at most (mean set size) / SHARE of them.
@@ -39,6 +39,7 @@ _MUL = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the word n-grams of each text; words end at ASCII white space, A-Z is folded."""
+    drop_caches()
     offsets, codes, chunks = chunked(column, lower=True)
     filled = np.fromiter(map(bool, chunks), bool, len(chunks))[codes] if chunks else np.zeros(0, bool)
     if not filled.all():  # empty chunks at the ends of texts are no words
@@ -336,12 +337,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = filled.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     member = materialize(filled.select("doc_id", "sig", "n_shingles").join(classes, "sig").select("doc_id", "rep", "n_shingles"), "classes")
     reps = filled.join(member.where("doc_id = rep").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
-    clusters = connected_components(prefix_ties(reps, percent)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    clusters = connected_components(materialize(prefix_ties(reps, percent), "ties"))
+    release(spark)
+    clusters = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     sizes = filled.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
     placed = first_tiles(sizes.join(clusters, "rep").distinct(), percent)
     # the texts of candidates, written once for both rounds; they are lighter than their sets
     candidates = materialize(rows.withColumnRenamed("doc_id", "rep").join(placed, "rep"), "candidates")
+    release(spark)
     links = materialize(_multiply(candidates.select("rep", "cluster", "whole", "text", F.explode("tiles").alias("tile")), n, percent), "links")
+    release(spark)
     single = links.where("whole").select(F.col("b").alias("rep"), F.col("a").alias("component"))
     large = candidates.where("not whole").select("rep", "cluster", "n").distinct()
     roots = single
