@@ -40,9 +40,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of results that nothing refers to any more, before the next large shuffle adds its own."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)
+    for _ in range(2):  # what Python lets go first is garbage of the JVM only then
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import flushing_counts, materialize, mix64, small_batches, table, texts
+from .common import flushing_counts, materialize, mix64, release, small_batches, table, texts
 
 WORD = re.compile(r"\w+")
 #: (modulus, kept): the lexicon is cut into ``modulus`` random subsets, of which the first ``kept`` are hashed.
@@ -55,6 +55,7 @@ def lexicon(docs: DataFrame, text: str = "text", min_share: float = 1 / 1000, ma
     """The terms of the band. Collected to the driver: ``max_lexicon`` bounds their number."""
     n = docs.count()
     df = materialize(term_frequencies(docs, text), "terms")
+    release(docs.sparkSession)
     mean = (df.agg(F.sum("df")).first()[0] or 0) / max(n, 1)
     low = max(min_share, mean / max_lexicon) * n
     return frozenset(r[0] for r in df.where((F.col("df") >= low) & (F.col("df") <= max(max_share * n, 1))).select("term").collect())
