@@ -1,6 +1,7 @@
 """Toxicity: a learned, weighted lexicon matched by an Aho-Corasick automaton over folded text.
 
-Folding: lower case, homoglyphs and digits to the Latin letters they stand for, accents kept, all else to spaces. The lexicon
+Folding: lower case, homoglyphs and digits to the Latin letters they stand for, accents kept, all else to spaces. Digits and signs
+at a word's start or end may also stand for nothing: both readings are matched, and a word counts once. The lexicon
 is learned from a bounded sample of labelled rows (``sample``, by a hash of the id): word stems (whole words and prefixes) whose
 log-odds between toxic and other rows pass ``least_odds``; no stem is the prefix of another. Exception phrases are a stem's word
 with a neighbour, seen at least as often in other rows as in toxic ones; a match inside one does not count. The weights of a
@@ -41,16 +42,28 @@ class _Folding(dict):
 
 
 _FOLD = _Folding()
-#: A digit or sign stands for a letter only between letters, so that trailing marks stay marks.
-_SIGNS = re.compile(r"(?<=[^\W\d_])[013457@8$!](?=[^\W\d_])|(?<![^\W_])[013457@$](?=[^\W\d_])")
+#: Runs of digits and signs between letters, at a word's start and, up to the last that is no mark, at its end. Marks stay marks in longer runs of their own.
+_INNER = r"(?<=[^\W\d_])(?!!!+[^\W\d_])[013457@8$!]+(?=[^\W\d_])"
+_SIGNS = re.compile(_INNER + r"|(?:(?<![^\W_])[013457@8$]|(?<!\S)!)[013457@8$!]*(?=[^\W\d_])|(?<=[^\W\d_])[013457@8$!]*[013457@8$](?![^\W_])")
+_INNER = re.compile(_INNER)
+
+
+def _folded(low: str, signs: re.Pattern) -> str:
+    return " " + signs.sub(lambda m: "".join([DIGITS[c] for c in m[0]]), low).translate(_FOLD) + " "
 
 
 def fold(text: str) -> str:
+    """Each run of digits and signs that touches a letter stands for letters."""
+    low = text.lower()
+    return _folded(low, _SIGNS) if any(d in low for d in DIGITS) else " " + low.translate(_FOLD) + " "
+
+
+def readings(text: str) -> list[str]:
+    """The folded text and, where it differs, the one whose digits and signs at a word's start or end stand for nothing; both have the same positions."""
     low = text.lower()
-    if any(d in low for d in DIGITS):
-        for _ in range(2):  # twice for neighbours such as l00k
-            low = _SIGNS.sub(lambda m: DIGITS[m[0]], low)
-    return " " + low.translate(_FOLD) + " "
+    if not any(d in low for d in DIGITS):
+        return [" " + low.translate(_FOLD) + " "]
+    return list(dict.fromkeys((_folded(low, _SIGNS), _folded(low, _INNER))))
 
 
 def stems(word: str):
@@ -87,12 +100,16 @@ def features(automaton, many: list[str]) -> np.ndarray:
     if automaton is None:
         return out
     for i, t in enumerate(many):
-        folded = fold(t)
-        hits = [(end - size + 1, end, w) for end, (size, w) in automaton.iter(folded)]
+        read = readings(t)
+        hits = {(end - size + 1, end, w) for r in read for end, (size, w) in automaton.iter(r)}
         if hits:
             spared = [(s, e) for s, e, w in hits if w is None]
-            total = sum(w for s, e, w in hits if w is not None and not any(a <= s and e <= z for a, z in spared))
-            out[i] = math.log1p(total), math.log1p(100 * total / max(1, len(folded.split())))
+            found: dict[int, float] = {}  # a word counts once, however many readings match
+            for s, e, w in hits:
+                if w is not None and not any(a <= s and e <= z for a, z in spared):
+                    found[s] = max(w, found.get(s, w))
+            total = math.fsum(found.values())
+            out[i] = math.log1p(total), math.log1p(100 * total / max(1, len(read[-1].split())))
     return out
 
 
@@ -114,7 +131,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds:
     def counted(wanted: set[str] | None):
         def add(batch, counts):
             for t, y in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
-                for s in {s for w in set(fold(t).split()) for s in stems(w) if wanted is None or s in wanted}:
+                for s in {s for w in {w for r in readings(t) for w in r.split()} for s in stems(w) if wanted is None or s in wanted}:
                     counts[s, y > 0] = counts.get((s, y > 0), 0) + 1
 
         return lambda it: flushing_counts(it, add, schema, 400_000)
@@ -152,11 +169,11 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> set[str]:
 
     def add(batch, counts):
         for t, y in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
-            words = fold(t).split()
             found = set()
-            for i, w in enumerate(words):
-                if any(s in stems_of for s in stems(w)):
-                    found |= {f" {' '.join(words[a:b])} " for a, b in ((i - 1, i + 1), (i, i + 2)) if a >= 0 and b <= len(words)}
+            for words in map(str.split, readings(t)):
+                for i, w in enumerate(words):
+                    if any(s in stems_of for s in stems(w)):
+                        found |= {f" {' '.join(words[a:b])} " for a, b in ((i - 1, i + 1), (i, i + 2)) if a >= 0 and b <= len(words)}
             for p in found:
                 counts[p, y > 0] = counts.get((p, y > 0), 0) + 1
 

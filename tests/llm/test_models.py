@@ -51,6 +51,15 @@ def test_toxicity_learns_folded_words(spark, odd, none):
     assert {r.score for r in toxicity.score(odd, nothing).collect()} == {0.0}
 
 
+def test_runs_of_substitutes_fold():
+    for odd, plain in {"id10t": "idiot", "1d10t": "idiot", "l00k": "look", "tr4$h": "trash", "l053r": "loser", "a55hole": "asshole", "idio7": "idiot", "a$$": "ass", "idio7!!!": "idiot"}.items():
+        assert toxicity.fold(odd).split() == [plain]
+    assert toxicity.fold("wow!!!you 1920s 12 of").split() == ["wow", "you", "s", "of"]
+    lexicon = toxicity.Lexicon({"idiot ": 3.0, "lose": 3.0})
+    x = toxicity.features(lexicon.automaton(), ["idiot", "id10t", "1d10t", "idio7", "idiot5", "5idiot", "l053r", "loser55", "fine 55"])
+    assert (x[:8, 0] == x[0, 0]).all() and x[0, 0] > 0 and x[8, 0] == 0
+
+
 def test_exception_phrases_cancel(spark):
     lexicon = toxicity.Lexicon({"trash ": 3.0}, {" trash can "}, (-2.0, 2.0, 0.0))
     x = toxicity.features(lexicon.automaton(), ["take the trash can out", "you are trash", "trash can trash"])
