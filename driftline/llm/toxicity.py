@@ -3,7 +3,9 @@
 Folding: lower case, homoglyphs and digits to the Latin letters they stand for, accents kept, all else to spaces. Digits and signs
 at a word's start or end may also stand for nothing: both readings are matched, and a word counts once. The lexicon
 is learned from a bounded sample of labelled rows (``sample``, by a hash of the id): word stems (whole words and prefixes) whose
-log-odds between toxic and other rows pass ``least_odds``; no stem is the prefix of another. Exception phrases are a stem's word
+log-odds between toxic and other rows pass ``least_odds`` and whose counts are no chance; no stem is the prefix of another.
+Words of two and three letters are stems as a whole. Counts are no chance by exact binomial tests with the sample's share of toxic
+rows, of which a share of at most ``chance`` may be wrong (Benjamini and Hochberg), so the support needed doesn't follow the sample. Exception phrases are a stem's word
 with a neighbour, seen at least as often in other rows as in toxic ones; a match inside one does not count. The weights of a
 text's matches, whole and per hundred words, make its score by a logistic function fitted on the same sample.
 
@@ -28,7 +30,7 @@ from .common import flushing_counts, materialize, small_batches, table, texts
 # Letters that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ο": "o", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ⅼ": "l", "ɑ": "a", "ԁ": "d", "ɡ": "g", "һ": "h", "ո": "n", "ѵ": "v", "ԝ": "w"}
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
-MIN_STEM, MAX_STEM = 4, 12
+MIN_WORD, MIN_STEM, MAX_STEM = 2, 4, 12
 
 
 class _Folding(dict):
@@ -67,12 +69,11 @@ def readings(text: str) -> list[str]:
 
 
 def stems(word: str):
-    """Prefixes, and the whole word closed by a space."""
-    if len(word) >= MIN_STEM:
-        for k in range(MIN_STEM, min(len(word), MAX_STEM) + 1):
-            yield word[:k]
-        if len(word) <= MAX_STEM:
-            yield word + " "
+    """Prefixes of at least MIN_STEM letters, and the whole word closed by a space."""
+    for k in range(MIN_STEM, min(len(word), MAX_STEM) + 1):
+        yield word[:k]
+    if MIN_WORD <= len(word) <= MAX_STEM:
+        yield word + " "
 
 
 @dataclass
@@ -119,7 +120,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     return materialize(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "labelled")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds: float = 3.0, least_share: float = 0.01, most: int = 5000) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds: float = 3.0, chance: float = 0.01, most: int = 5000) -> Lexicon:
     small_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, sample)
     kinds = {bool(r[0]): r[1] for r in rows.groupBy(F.col("toxic") > 0).count().collect()}
@@ -136,19 +137,32 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds:
 
         return lambda it: flushing_counts(it, add, schema, 400_000)
 
-    least = max(5, least_share * pos)
-    own = rows.where("toxic > 0").mapInArrow(counted(None), "stem string, toxic boolean, n long").groupBy("stem").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    toxic = {r.stem: r.n for r in own.collect()}  # at most (mean stems of a row) / least_share
+    share = pos / (pos + neg)
+    own = materialize(rows.where("toxic > 0").mapInArrow(counted(None), "stem string, toxic boolean, n long").groupBy("stem").agg(F.sum("n").alias("n")), "stems")
+    sizes = sorted((r.n, r.stems) for r in own.groupBy("n").agg(F.count("*").alias("stems")).collect())
+    tested = sum(k for _, k in sizes)
+    # a stem with fewer toxic rows fails the tests even if no other row has it and all with as many pass
+    able = (n for i, (n, _) in enumerate(sizes) if n * math.log(share) <= math.log(chance * sum(k for _, k in sizes[i:]) / tested))
+    toxic = {r.stem: r.n for r in own.where(F.col("n") >= next(able, math.inf)).collect()}
     others = rows.where("toxic = 0").mapInArrow(counted(set(toxic)), "stem string, toxic boolean, n long").groupBy("stem").agg(F.sum("n").alias("n"))
     clean = {r.stem: r.n for r in others.collect()}
     odds = {s: math.log((n + 0.5) / (pos + 1)) - math.log((clean.get(s, 0) + 0.5) / (neg + 1)) for s, n in toxic.items()}
-    lexicon = Lexicon(_prefix_free({s: o for s, o in odds.items() if o >= least_odds}, toxic, most))
+    tails = {s: _log_tail(toxic[s], clean.get(s, 0), share) for s, o in odds.items() if o >= least_odds}
+    limit = max((t for k, t in enumerate(sorted(tails.values()), 1) if t <= math.log(chance * k / tested)), default=-math.inf)
+    lexicon = Lexicon(_prefix_free({s: odds[s] for s, t in tails.items() if t <= limit}, toxic, most))
     lexicon.exceptions = _exceptions(rows, lexicon)
     x, y = _sampled_features(rows, lexicon)
     lexicon.line = _logistic(x, y)
     return lexicon
 
 
+def _log_tail(n: int, other: int, share: float) -> float:
+    """Logarithm of the chance that of n + other rows at least n are toxic."""
+    size = n + other
+    logs = [math.lgamma(size + 1) - math.lgamma(k + 1) - math.lgamma(size - k + 1) + k * math.log(share) + (size - k) * math.log1p(-share) for k in range(n, size + 1)]
+    return max(logs) + math.log(math.fsum(math.exp(x - max(logs)) for x in logs)) if other else logs[0]
+
+
 def _prefix_free(odds: dict[str, float], support: dict[str, int], most: int) -> dict[str, float]:
     """Of each family of stems the longest with (nearly) the support of the shortest that passes."""
     out: dict[str, float] = {}

@@ -60,6 +60,19 @@ def test_runs_of_substitutes_fold():
     assert (x[:8, 0] == x[0, 0]).all() and x[0, 0] > 0 and x[8, 0] == 0
 
 
+def test_toxicity_learns_short_and_rare_words(spark):
+    # of 2,400 toxic rows 24 have each short word and 16 the rare one, under or at a hundredth; chance words of about four rows stay out
+    word = lambda i: "zog" if i % 100 == 0 else "qy" if i % 100 == 1 else "grumble" if i % 150 == 2 else "scum"
+    noise = np.random.default_rng(5).integers(0, 3000, 12000)
+    rows = [(i, f"some {word(i) if i < 2400 else 'words'} of noise{n} text nx{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}{chr(97 + n // 676)}", int(i < 2400)) for i, n in enumerate(noise)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    assert {"zog ", "qy "} <= set(lexicon.weights) and any("grumble ".startswith(s) for s in lexicon.weights)
+    assert not [s for s in lexicon.weights if s.startswith(("noise", "nx"))]
+    got = {r.doc_id: r.score for r in toxicity.score(docs, lexicon).collect()}
+    assert min(got[i] for i in range(2400)) > 0.3 > max(got[i] for i in range(2400, 12000))
+
+
 def test_exception_phrases_cancel(spark):
     lexicon = toxicity.Lexicon({"trash ": 3.0}, {" trash can "}, (-2.0, 2.0, 0.0))
     x = toxicity.features(lexicon.automaton(), ["take the trash can out", "you are trash", "trash can trash"])
