@@ -1,9 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-The word n-grams of the test items are counted over all documents; each item keeps its rare ones as seeds (at most
-``most_share`` of documents have them), and its ``always`` rarest whatever their count. Documents that hold a seed are aligned
-with the item, word by word, in a window around the hits. The score is the alignment's, of what a perfect copy would get;
-``threshold`` marks contamination, so edited and paraphrased copies count.
+Every word n-gram of a test item is a seed, however many documents have it: cut and edited copies of a frequent item share only
+its frequent n-grams. Documents that hold a seed are aligned with the item, word by word, in a window around the hits, unless they share too
+few words with it. The score is the alignment's, of what a perfect copy would get; ``threshold`` marks contamination, so edited and paraphrased copies count.
 
 Items are processed in blocks of bounded size (``ITEMS``), each over all documents, so neither side is limited; within a block, the seeds and items are broadcast.
 
@@ -14,7 +13,6 @@ Repeated items match each for itself; a document's row is kept once per (documen
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -66,23 +64,6 @@ def smith_waterman(a: list[str], b: list[str]) -> tuple[int, int, int]:
     return best
 
 
-def seed_counts(docs: DataFrame, seeds: dict) -> Counter:
-    """In how many documents each seed occurs; tasks send a count per seed."""
-    schema = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
-    shared = docs.sparkSession.sparkContext.broadcast((seeds, _firsts(seeds)))
-
-    def run(batches):
-        number, firsts = shared.value
-        counts: Counter = Counter()
-        for b in batches:
-            for t in texts(b):
-                counts.update({s for _, s in _hits(words_of(t), number, firsts)})
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], schema=schema)
-
-    return Counter({r.seed: r.n for r in docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()})
-
-
 def _firsts(seeds) -> dict[str, set[str]]:
     """First words of the seeds, and what may follow each: most positions of a text end here."""
     out: dict[str, set[str]] = {}
@@ -107,14 +88,14 @@ def _hits(words: list[str], number: dict, firsts: dict[str, set[str]]) -> list[t
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, most_share: float = 1e-3, always: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, matched_text): the contaminated documents, by item."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("matched_text", pa.string())])
     out = None
     for items in _blocks(benchmark):
-        shared = _index(rows, items, most_share, always)
+        shared = _index(rows, items)
 
         def run(batches, shared=shared):
             for b in batches:
@@ -129,11 +110,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, most_share: float = 1e-3, always: int = 8) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no test item; filtered where they are read, without a shuffle."""
     small_batches(docs.sparkSession)
     for items in _blocks(benchmark):
-        shared = _index(docs, items, most_share, always)
+        shared = _index(docs, items)
 
         def run(batches, shared=shared):
             for b in batches:
@@ -152,29 +133,20 @@ def _blocks(benchmark: DataFrame):
         yield [(r.item_id, words_of(r.text)) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
 
 
-def _index(rows: DataFrame, items: list[tuple[int, list[str]]], most_share: float, always: int):
-    """Broadcast of the items, their rare seeds, the seeds' first words, and the items of each seed."""
+def _index(rows: DataFrame, items: list[tuple[int, list[str]]]):
+    """Broadcast of the items, their seeds, the seeds' first words, and the items of each seed."""
     number: dict[tuple, int] = {}
-    for _, words in items:
-        for s in seeds_of(words):
-            number.setdefault(s, len(number))
-    counts = seed_counts(rows, number)
-    limit = max(3, most_share * rows.count())
-    kept: dict[tuple, int] = {}
     owners: dict[int, list[int]] = {}
     for at, (_, words) in enumerate(items):
-        own = sorted(set(seeds_of(words)), key=lambda s: (counts[number[s]], s))
-        for rank, s in enumerate(own):
-            if rank < always or counts[number[s]] <= limit:
-                kept[s] = number[s]
-                owners.setdefault(number[s], []).append(at)
-    return rows.sparkSession.sparkContext.broadcast((items, kept, _firsts(kept), owners))
+        for s in dict.fromkeys(seeds_of(words)):
+            owners.setdefault(number.setdefault(s, len(number)), []).append(at)
+    return rows.sparkSession.sparkContext.broadcast((items, number, _firsts(number), owners))
 
 
-def align(words: list[str], items, kept, firsts, owners, threshold: float) -> list[tuple]:
+def align(words: list[str], items, number, firsts, owners, threshold: float) -> list[tuple]:
     """(item, score, start, end, text) of the items that a text holds."""
     places: dict[int, list[int]] = {}
-    for i, s in _hits(words, kept, firsts):
+    for i, s in _hits(words, number, firsts):
         for at in owners[s]:
             places.setdefault(at, []).append(i)
     out = []

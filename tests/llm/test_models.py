@@ -125,3 +125,13 @@ def test_edited_copies_are_found(spark, odd, none, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contamination(docs, benchmark).collect()} == set(got)
     assert {r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()} == {3, 5, 6, 7}
     assert decontaminate.contamination(none, benchmark).count() == 0 and decontaminate.contamination(odd, benchmark.limit(0)).count() == 0
+
+
+def test_cut_copies_of_frequent_items_are_found(spark):
+    words = [f"w{i}" for i in range(38)]
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    held = {i: words if i % 100 == 0 else words[:23] if i % 100 == 1 else ["other"] for i in range(1000)}
+    docs = spark.createDataFrame([(i, " ".join(["noise", *w, "noise"])) for i, w in held.items()], "doc_id long, text string")
+    copies = {i for i in held if i % 100 < 2}
+    assert {r.doc_id for r in decontaminate.contamination(docs, benchmark).collect()} == copies
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()} == set(held) - copies
