@@ -13,6 +13,7 @@ Repeated items match each for itself; a document's row is kept once per (documen
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -154,13 +155,13 @@ def align(words: list[str], items, number, firsts, owners, threshold: float) ->
         item, own = items[at]
         reach = 2 * len(own)
         best = (0.0, 0, 0)
-        vocabulary = set(own)
+        counts = Counter(own)
         start = end = None
         for h in [*hits, None]:
             if end is not None and (h is None or h - reach > end):
                 window = words[max(0, start) : end]
-                # an alignment cannot match more words than both sides share
-                if 2.0 * len(vocabulary.intersection(window)) >= threshold * len(vocabulary):
+                # an alignment cannot match more words than both sides share, with repeats
+                if (counts & Counter(w for w in window if w in counts)).total() >= threshold * len(own):
                     score, a, z = smith_waterman(own, window)
                     share = score / (MATCH * len(own))
                     if share > best[0]:

@@ -135,3 +135,11 @@ def test_cut_copies_of_frequent_items_are_found(spark):
     copies = {i for i in held if i % 100 < 2}
     assert {r.doc_id for r in decontaminate.contamination(docs, benchmark).collect()} == copies
     assert {r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()} == set(held) - copies
+
+
+def test_repeated_words_count_before_alignment(spark):
+    item = ["x", "y"] * 12 + [f"w{i}" for i in range(8)]  # half its words are two of ten distinct ones
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "noise " + " ".join(item[:24]) + " noise"), (2, "x y x noise")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert got == {1: 0.75}
