@@ -8,7 +8,7 @@ are revisit records of the identical-payload-digest profile, which refer to it a
 The folder must be shared by driver and executors. Files are written under a name of their attempt and renamed.
 
 Defined results: a null payload is empty, a null url is the empty string. Repeated ids with equal payloads refer to
-themselves only if they are the largest id: each such row is a response. Rows with a null id are left out. An empty table
+themselves only if they are the largest id: each such row is a response. Each row of a repeated id is a capture of its own. Rows with a null id are left out. An empty table
 gives no archive. Very long payloads are streamed record by record.
 """
 
@@ -21,7 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, small_batches, table
@@ -36,8 +36,9 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(capture: int, kind: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}/{capture}')}>"
+def record_id(capture: int, digest: str, ordinal: int, kind: str) -> str:
+    """``ordinal`` tells rows of equal id and payload apart, from 1."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}/{capture}/{digest}/{ordinal}')}>"
 
 
 def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -68,23 +69,12 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers["content-length"])]
 
 
-def _digests(pages: DataFrame) -> DataFrame:
-    schema = pa.schema([("page_id", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64())])
-
-    def run(batches):
-        for b in batches:
-            raw = [(h or "").encode() for h in b.column("html").to_pylist()]
-            yield table(schema, page_id=b.column("page_id").to_pylist(), payload_digest=list(map(digest32, raw)), payload_bytes=list(map(len, raw)))
-
-    return pages.select("page_id", "html").mapInArrow(run, "page_id long, payload_digest string, payload_bytes long")
-
-
 def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload an other page with a larger id keeps. Groups are reduced before the shuffle; a hot payload's pages are dealt by a salt."""
-    found = _digests(pages).where(F.col("payload_bytes") >= min_bytes).select("page_id", "payload_digest")
-    keepers = found.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    """(page_id, sha, refers_to) of the ids and payloads that an other page with a larger id keeps. Groups are reduced before the shuffle; a hot payload's pages are dealt by a salt."""
+    found = pages.where(F.octet_length("html") >= min_bytes).select("page_id", "sha")
+    keepers = found.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("sha", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = found.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    return salted.join(keepers, ["payload_digest", "salt"]).where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    return salted.join(keepers, ["sha", "salt"]).where("page_id < refers_to").select("page_id", "sha", "refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
@@ -94,7 +84,10 @@ def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_i
     path = path or new_path(spark, "warc")
     schema = pa.schema([("path", pa.string()), ("records", pa.int64())])
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html")).where("page_id is not null")
-    referring = rows.join(revisits(rows, min_bytes), "page_id", "left")
+    rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
+    # rows of equal id and payload are numbered where the join has dealt them
+    own = Window.partitionBy("page_id", "sha").orderBy("url")
+    referring = rows.join(revisits(rows, min_bytes), ["page_id", "sha"], "left").withColumn("ordinal", F.row_number().over(own))
 
     def run(batches):
         from pyspark import TaskContext
@@ -107,28 +100,29 @@ def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_i
         for b in batches:
             for r in b.to_pylist():
                 out = out or fs.open_output_stream(own, compression=None)
-                out.write(capture_records(r["page_id"], r["url"], r["html"].encode(), r["refers_to"], date))
+                out.write(capture_records(r["page_id"], r["ordinal"], r["url"], r["html"].encode(), r["refers_to"], date))
                 n += 3
         if out:
             out.close()
             fs.move(own, f"{root}/{name}")
             yield table(schema, path=[f"{path}/{name}"], records=[n])
 
-    files = referring.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records long").collect()  # a row for each file
+    files = referring.select("page_id", "ordinal", "url", "html", "refers_to").mapInArrow(run, "path string, records long").collect()  # a row for each file
     return spark.createDataFrame(files, "path string, records long")
 
 
-def capture_records(capture: int, url: str, payload: bytes, refers_to: int | None, date: str) -> bytes:
+def capture_records(capture: int, ordinal: int, url: str, payload: bytes, refers_to: int | None, date: str) -> bytes:
     target = url.replace("\r", "").replace("\n", "")
     common = [("WARC-Target-URI", target), ("WARC-Date", date)]
-    ids = {k: record_id(capture, k) for k in ("request", "response", "metadata")}
+    digest = digest32(payload)
+    ids = {k: record_id(capture, digest, ordinal, k) for k in ("request", "response", "metadata")}
     linked = ("WARC-Concurrent-To", ids["request"])
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    kept = [("WARC-Record-ID", ids["response"]), linked, *common, ("WARC-Payload-Digest", f"sha1:{digest32(payload)}"), ("Content-Type", "application/http; msgtype=response")]
+    kept = [("WARC-Record-ID", ids["response"]), linked, *common, ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     if refers_to is None:
         answer = record("response", kept, http + payload)
     else:
-        answer = record("revisit", [*kept, ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, "response"))], http)
+        answer = record("revisit", [*kept, ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest, 1, "response"))], http)
     fields = f"page-id: {capture}\r\n" + (f"refers-to-page-id: {refers_to}\r\n" if refers_to is not None else "")
     return record("request", [("WARC-Record-ID", ids["request"]), *common, ("Content-Type", "application/http; msgtype=request")], f"GET {target} HTTP/1.1\r\n\r\n".encode()) + answer + record("metadata", [("WARC-Record-ID", ids["metadata"]), linked, *common, ("Content-Type", "application/warc-fields")], fields.encode())
 

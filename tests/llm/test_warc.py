@@ -57,3 +57,14 @@ def test_lonely_records(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.capture_digests(warc.assemble(warc.read_warc(spark, warc.write_warc(none)))).count() == 0
+
+
+def test_repeated_ids_are_captures_of_their_own(spark):
+    pages = [(1, "http://a/", "one"), (1, "http://a/", "one"), (1, "http://b/", "two"), (3, "http://c/", "one"), (3, "http://c/", "other"), (3, "http://d/", "one")]
+    files = warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    captures = warc.assemble(warc.read_warc(spark, files))
+    assert sorted(tuple(r) for r in warc.capture_digests(captures).collect()) == _brute(pages)
+    got = captures.collect()
+    kept = {r.response.record_id: r.response.payload_digest for r in got if r.response.warc_type == "response"}
+    assert len({r.response.record_id for r in got}) == len(pages)
+    assert all(kept[r.response.refers_to] == r.response.payload_digest for r in got if r.response.warc_type == "revisit")
