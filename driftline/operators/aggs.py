@@ -15,8 +15,8 @@ def count_distinct_tuple(*columns: str) -> Column:
 
 def quantile_floor(column: str, p: float) -> Column:
     """Element floor(p * n), from 0 and clamped, of the sorted values; nulls are left out."""
-    s = F.array_sort(F.collect_list(column))
-    return F.get(s, F.least(F.floor(F.size(s) * F.lit(p)).cast("int"), F.size(s) - 1))
+    # one more than floor(p * n), from 1, is ceil of a little more than p * n; counts of distinct values suffice
+    return F.expr(f"percentile_disc({min(1.0, p + 1e-12):.12f}) WITHIN GROUP (ORDER BY `{column}`)")
 
 
 def quantile_nearest_rank(column: str, p: float) -> Column:
@@ -101,9 +101,17 @@ def fuse_by_priority(rows: DataFrame, keys: Sequence[str], rank: str, order: Seq
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(rank, *order)).alias("_b")).select(*keys, *[F.col(f"_b.{c}").alias(c) for c in rest])
 
 
+def total_rank(df: DataFrame, n: str, key: str, out: str) -> DataFrame:
+    """Adds the rank by ``n`` descending, then ``key``, over all rows. Only the distinct counts meet in one task; rows are numbered within their count."""
+    sizes = df.groupBy(n).agg(F.count("*").alias("_k"))
+    above = F.coalesce(F.sum("_k").over(Window.orderBy(F.col(n).desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = df.join(sizes.select(n, above.alias("_above")), n)
+    return ranked.withColumn(out, (F.col("_above") + F.row_number().over(Window.partitionBy(n).orderBy(key))).cast("int")).drop("_above")
+
+
 def trend(df: DataFrame, key: str, current: Column, previous: Column) -> DataFrame:
     """Counts and ranks of a window against the one before: n, n_prev, delta_pct, rank, rank_prev."""
     c = df.groupBy(key).agg(F.count_if(current).alias("n"), F.count_if(previous).alias("n_prev")).where("n > 0 or n_prev > 0")
-    w = lambda n: Window.orderBy(F.col(n).desc(), F.col(key))  # noqa: E731  over one row per key
     pct = F.round(100.0 * (F.col("n") - F.col("n_prev")) / F.nullif(F.col("n_prev"), F.lit(0)), 2)
-    return c.select(key, "n", "n_prev", pct.alias("delta_pct"), F.row_number().over(w("n")).alias("rank"), F.row_number().over(w("n_prev")).alias("rank_prev"))
+    ranked = total_rank(total_rank(c, "n", key, "rank"), "n_prev", key, "rank_prev")
+    return ranked.select(key, "n", "n_prev", pct.alias("delta_pct"), "rank", "rank_prev")

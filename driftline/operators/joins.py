@@ -50,17 +50,27 @@ def range_lookup(df: DataFrame, number: str, ranges: DataFrame, lo: str, hi: str
     return keyed.join(cells, on, "left").select(*[keyed[c] for c in df.columns], cells[label])
 
 
+#: Sizes of the aligned blocks that ranges are cut into, as powers of two.
+_LEVELS = 63
+
+
 def flatten_ranges(ranges: DataFrame, lo: str, hi: str, label: str, priority: str) -> DataFrame:
-    """Overlapping integer ranges as a disjoint partition: each point has the label of the covering range of least priority; equal neighbours merge."""
-    edges = ranges.select(F.col(lo).alias("p")).union(ranges.select((F.col(hi) + 1).alias("p"))).distinct()
-    w = Window.orderBy("p")  # over the edges of a dimension table
-    cells = edges.withColumn("q", F.lead("p").over(w) - 1).where("q is not null")
-    covered = cells.join(ranges, (F.col("p") >= F.col(lo)) & (F.col("q") <= F.col(hi)))
-    best = covered.groupBy("p", "q").agg(F.min_by(label, F.struct(priority, label)).alias(label))
-    before = F.lag(label).over(w), F.lag("q").over(w)
-    flagged = best.withColumn("_new", F.when((before[0] == F.col(label)) & (before[1] == F.col("p") - 1), 0).otherwise(1))
+    """Overlapping integer ranges as a disjoint partition: each point has the label of the covering range of least priority; equal neighbours merge. A range is two aligned blocks of the least power of
+    two that is not shorter, and an edge lies in one block of each size, so edges find their ranges by equality."""
+    own = ranges.select(F.col(lo).cast("long").alias("_lo"), F.col(hi).cast("long").alias("_hi"), F.col(label).alias("_label"), F.col(priority).alias("_priority"))
+    edges = own.select(F.col("_lo").alias("_p")).union(own.select((F.col("_hi") + 1).alias("_p"))).distinct()
+    w = Window.orderBy("_p")  # over the edges of a dimension table
+    cells = edges.withColumn("_q", F.lead("_p").over(w) - 1).where("_q is not null")
+    block = lambda c, k: F.floor(c / F.pow(F.lit(2.0), k)).cast("long")
+    blocks = own.withColumn("_k", F.ceil(F.log2((F.col("_hi") - F.col("_lo") + 1).cast("double"))).cast("int"))
+    blocks = blocks.withColumn("_block", F.explode(F.sequence(block(F.col("_lo"), F.col("_k")), block(F.col("_hi"), F.col("_k")))))
+    placed = cells.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS)))).withColumn("_block", block(F.col("_p"), F.col("_k")))
+    covered = placed.join(blocks, ["_k", "_block"]).where("_p >= _lo and _q <= _hi")
+    best = covered.groupBy("_p", "_q").agg(F.min_by("_label", F.struct("_priority", "_label")).alias("_label"))
+    follows = (F.lag("_label").over(w) == F.col("_label")) & (F.lag("_q").over(w) == F.col("_p") - 1)
+    flagged = best.withColumn("_new", F.when(follows, 0).otherwise(1))
     grouped = flagged.withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return grouped.groupBy("_g", label).agg(F.min("p").alias(lo), F.max("q").alias(hi)).select(lo, hi, label)
+    return grouped.groupBy("_g", "_label").agg(F.min("_p").alias(lo), F.max("_q").alias(hi)).select(lo, hi, F.col("_label").alias(label))
 
 
 def overlap_seconds(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
@@ -93,28 +103,54 @@ def contest_nearest_mid(points: DataFrame, windows: DataFrame, key: str, ts: str
     return hits.groupBy(point_id).agg(F.min(F.struct("_d", window_id)).alias("_b")).select(point_id, F.col(f"_b.{window_id}").alias(window_id))
 
 
+def _longitudes(band: Column, km: float) -> Column:
+    """How many cells of longitude a latitude band has, each at least as wide as a circle of this radius reaches from anywhere in the band; one where it may hold a pole."""
+    height, reach = km / 110.5, km / R_KM
+    worst = F.radians(F.greatest(F.abs(band), F.abs(band + 1)) * height)
+    width = F.degrees(F.asin(F.least(F.lit(1.0), math.sin(min(reach, math.pi / 2)) / F.greatest(F.cos(worst), F.lit(1e-12))))) + 1e-9
+    return F.when(worst + reach >= math.pi / 2, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(360.0 / width).cast("int")))
+
+
+def _cell(lat: Column, lon: Column, km: float, band: Column | None = None) -> tuple[Column, Column]:
+    """(band, cell): where a point lies, in its own band or as if it were in another one."""
+    band = F.floor(lat / (km / 110.5)).cast("int") if band is None else band
+    n = _longitudes(band, km)
+    return band, F.pmod(F.floor(F.pmod(lon + 180.0, F.lit(360.0)) / 360.0 * n).cast("int"), n)
+
+
+def in_cells(df: DataFrame, lat: Column, lon: Column, km: float) -> DataFrame:
+    """Adds ``_band`` and ``_lon`` of a point's own cell."""
+    band, lon_cell = _cell(lat, lon, km)
+    return df.withColumns({"_band": band, "_lon": lon_cell}).where(lat.isNotNull() & lon.isNotNull())
+
+
+def around_cells(df: DataFrame, lat: Column, lon: Column, km: float) -> DataFrame:
+    """A row for each cell whose points may lie within ``km`` of a point: its own band and the two beside it, in each the cell of its longitude and the two beside that."""
+    own, _ = _cell(lat, lon, km)
+    near = df.where(lat.isNotNull() & lon.isNotNull()).withColumn("_band", F.explode(F.sequence(own - 1, own + 1)))
+    band, n = F.col("_band"), _longitudes(F.col("_band"), km)
+    _, at = _cell(lat, lon, km, band)
+    return near.withColumn("_lon", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(at + d, n)))))
+
+
 def nearest_place(points: DataFrame, places: DataFrame, point_id: str, place_id: str, within_km: float, lat: str = "lat", lon: str = "lon", prefer: str | None = None, prefer_km: float = 0.0) -> DataFrame:
-    """(point_id, place_id, distance_km): the nearest place within a distance. Places are in cells of whole latitude degrees, a point looks in its own and
-    the neighbouring ones; a longitude band by latitude goes before the distance. ``prefer``: places where it is true win within ``prefer_km``."""
-    cells = 1 + int(within_km // 111)
-    a = points.select(point_id, F.col(lat).alias("_la"), F.col(lon).alias("_lo"), F.explode(F.sequence(F.floor(lat).cast("int") - cells, F.floor(lat).cast("int") + cells)).alias("_cell")).where("_la is not null and _lo is not null")
-    b = places.select(place_id, F.col(lat).alias("_lb"), F.col(lon).alias("_mb"), F.floor(lat).cast("int").alias("_cell"), (F.col(prefer) if prefer else F.lit(False)).alias("_pref"))
-    dlon = F.abs(F.pmod(F.col("_lo") - F.col("_mb") + 540.0, F.lit(360.0)) - 180.0)
-    # the widest a circle of this radius gets in longitude; no limit where it holds a pole
-    reach = within_km / R_KM
-    wide = F.sin(F.lit(reach)) / F.cos(F.radians(F.col("_la")))
-    band = F.when(F.radians(F.abs(F.col("_la"))) + reach >= math.pi / 2, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), wide))) + 1e-9)
-    hits = a.join(b, "_cell").where((F.abs(F.col("_la") - F.col("_lb")) <= within_km / 110.5) & (dlon <= band)).withColumn("distance_km", haversine(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_mb"))).where(F.col("distance_km") <= within_km)
+    """(point_id, place_id, distance_km): the nearest place within a distance. Places are in cells of latitude and longitude, a point looks in its own and
+    the neighbouring ones. ``prefer``: places where it is true win within ``prefer_km``."""
+    a = around_cells(points.select(point_id, F.col(lat).alias("_la"), F.col(lon).alias("_lo")), F.col("_la"), F.col("_lo"), within_km)
+    b = in_cells(places.select(place_id, F.col(lat).alias("_lb"), F.col(lon).alias("_mb"), (F.col(prefer) if prefer else F.lit(False)).alias("_pref")), F.col("_lb"), F.col("_mb"), within_km)
+    hits = a.join(b, ["_band", "_lon"]).withColumn("distance_km", haversine(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_mb"))).where(F.col("distance_km") <= within_km)
     first = F.when(F.col("_pref") & (F.col("distance_km") <= prefer_km), 0).otherwise(1)
     return hits.groupBy(point_id).agg(F.min(F.struct(first.alias("f"), F.col("distance_km"), F.col(place_id))).alias("_b")).select(point_id, F.col(f"_b.{place_id}").alias(place_id), F.col("_b.distance_km").alias("distance_km"))
 
 
 def near_in_time_and_space(a: DataFrame, b: DataFrame, a_id: str, b_id: str, ts: str = "ts", within_s: int = 90, within_km: float = 5.0) -> DataFrame:
-    """Pairs within a time and a distance: the right side is dealt to its own and the neighbouring time buckets, the left to its own."""
-    x = a.select(a_id, F.col(ts).alias("_ta"), F.col("lat").alias("_la"), F.col("lon").alias("_lo"), F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / within_s).alias("_b"))
-    y = b.select(b_id, F.col(ts).alias("_tb"), F.col("lat").alias("_lb"), F.col("lon").alias("_mb"), F.explode(F.sequence(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / within_s) - 1, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / within_s) + 1)).alias("_b"))
+    """Pairs within a time and a distance: the right side is dealt to its own and the neighbouring buckets of time and cells of space, the left to its own."""
+    bucket = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / within_s)
+    x = in_cells(a.select(a_id, F.col(ts).alias("_ta"), F.col("lat").alias("_la"), F.col("lon").alias("_lo"), bucket.alias("_b")), F.col("_la"), F.col("_lo"), within_km)
+    y = b.select(b_id, F.col(ts).alias("_tb"), F.col("lat").alias("_lb"), F.col("lon").alias("_mb"), F.explode(F.sequence(bucket - 1, bucket + 1)).alias("_b"))
+    y = around_cells(y, F.col("_lb"), F.col("_mb"), within_km)
     d = haversine(F.col("_la"), F.col("_lo"), F.col("_lb"), F.col("_mb"))
-    return x.join(y, "_b").where((F.abs(seconds_between(F.col("_ta"), F.col("_tb"))) <= within_s) & (d < within_km)).select(a_id, b_id)
+    return x.join(y, ["_b", "_band", "_lon"]).where((F.abs(seconds_between(F.col("_ta"), F.col("_tb"))) <= within_s) & (d < within_km)).select(a_id, b_id)
 
 
 def either_key(left: DataFrame, right: DataFrame, left_id: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -151,11 +187,12 @@ def full_outer_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], values: Seq
 
 
 def validity(df: DataFrame, dim: DataFrame, key: str, day: str, values: Sequence[str], valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """Left join with the dimension row valid on a day (an open end is for ever); of several, the one valid latest."""
-    d = dim.select(F.col(key).alias("_k"), valid_from, valid_to, *values)
-    on = (F.col(key) == F.col("_k")) & (F.col(day) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(day) <= F.col(valid_to)))
-    hits = df.join(d, on, "left")
-    return hits.groupBy(*df.columns).agg(F.max_by(F.struct(*values), F.struct(valid_from, *values)).alias("_v")).select(*df.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
+    """Each row with the dimension row valid on its day (an open end is for ever); of several, the one valid latest. The versions of a key travel together, so a row stays one row, also where rows repeat."""
+    version = F.struct(F.col(valid_from).alias("_from"), *[F.col(v).alias(v) for v in values], F.col(valid_to).alias("_to"))
+    d = dim.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.collect_list(version).alias("_versions"))
+    valid = F.filter("_versions", lambda v: (F.col(day) >= v["_from"]) & (v["_to"].isNull() | (F.col(day) <= v["_to"])))
+    picked = df.join(d, F.col(key) == F.col("_k"), "left").withColumn("_v", F.array_max(valid))
+    return picked.select(*df.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
 def candidate_intersection(entries: DataFrame, exits: DataFrame, key: str, candidate: str) -> DataFrame:

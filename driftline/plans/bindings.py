@@ -209,9 +209,9 @@ def semi_join(t):
     return t("customer").join(t("orders").where("o_totalprice > 300000"), C("c_custkey") == C("o_custkey"), "left_semi").select("c_custkey", "c_name")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
 def anti_join(t):
-    return t("customer").join(t("orders"), C("c_custkey") == C("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    return t("customer").join(t("orders").where("o_orderstatus = 'P'"), C("c_custkey") == C("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 @query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'P') OR EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size = 1)")
@@ -243,12 +243,12 @@ def validity_join(t):
     return joins.validity(o, dim, "k", "day", ["rate"]).select("o_orderkey", "rate")
 
 
-@query("""WITH a AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 50 AS c FROM lineitem WHERE l_returnflag = 'R' AND l_quantity = 1), b AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 50 AS c FROM lineitem WHERE l_returnflag = 'A' AND l_quantity = 2),
+@query("""WITH a AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 50 AS c FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 50 AS c FROM lineitem WHERE l_returnflag = 'A'),
     keys AS (SELECT k FROM a UNION SELECT k FROM b), m AS (SELECT keys.k, count(b.c) AS n, max(b.c) AS c FROM keys LEFT JOIN a ON a.k = keys.k LEFT JOIN b ON b.k = a.k AND b.c = a.c GROUP BY keys.k)
     SELECT k, CASE WHEN n = 1 THEN 'match' WHEN n > 1 THEN 'ambiguous' ELSE 'pending' END AS status, CASE WHEN n = 1 THEN c END AS c FROM m""")
 def candidate_intersection(t):
-    side = lambda f, q: t("lineitem").where((C("l_returnflag") == f) & (C("l_quantity") == q)).select(C("l_suppkey").alias("k"), (C("l_partkey") % 50).alias("c"))
-    return joins.candidate_intersection(side("R", 1), side("A", 2), "k", "c")
+    side = lambda f: t("lineitem").where(C("l_returnflag") == f).select(C("l_suppkey").alias("k"), (C("l_partkey") % 50).alias("c"))
+    return joins.candidate_intersection(side("R"), side("A"), "k", "c")
 
 
 @query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, avg(l_quantity) AS avg_qty, count(*) AS n, min(l_shipdate) AS first_ship FROM lineitem WHERE l_shipdate <= DATE '1998-09-02' GROUP BY ALL")
@@ -472,10 +472,10 @@ def explode_adjacent_pairs(t):
     return w.where(F.size("ws") > 1).select("p_partkey", F.posexplode(pairs)).select("p_partkey", (C("pos") + 1).alias("i"), C("col.a").alias("a"), C("col.b").alias("b"))
 
 
-@query("""SELECT o_orderkey, 'OK' AS status, o_orderpriority AS priority FROM orders WHERE o_orderkey % 3 = 0""")
+@query("""SELECT o_orderkey, 'OK' AS status, o_orderpriority AS priority FROM orders""")
 def xml_parse(t):
     body = F.concat(F.lit("<m><order key='"), C("o_orderkey"), F.lit("'><status>OK</status><priority>"), C("o_orderpriority"), F.lit("</priority></order></m>"))
-    x = t("orders").where("o_orderkey % 3 = 0").select(body.alias("x"))
+    x = t("orders").select(body.alias("x"))
     return x.select(F.xpath_long("x", F.lit("m/order/@key")).alias("o_orderkey"), F.xpath_string("x", F.lit("m/order/status")).alias("status"), F.xpath_string("x", F.lit("m/order/priority")).alias("priority"))
 
 
@@ -487,9 +487,10 @@ def time_functions(t):
 
 @query(f"""WITH {PLACES} SELECT p_id, a_id, round({HAVERSINE.format(a='pt', b='pl')}, 4) AS km,
     round((degrees(atan2(sin(radians(pl.lon - pt.lon)) * cos(radians(pl.lat)), cos(radians(pt.lat)) * sin(radians(pl.lat)) - sin(radians(pt.lat)) * cos(radians(pl.lat)) * cos(radians(pl.lon - pt.lon)))) + 360) % 360, 4) AS brg
-    FROM pt JOIN pl ON p_id % 10 = a_id % 10 AND (pt.lat, pt.lon) <> (pl.lat, pl.lon)""")
+    FROM pt JOIN customer ON c_custkey = p_id JOIN supplier ON s_nationkey = c_nationkey JOIN pl ON a_id = s_suppkey AND (pt.lat, pt.lon) <> (pl.lat, pl.lon)""")
 def geo_functions(t):
-    a, b = (x.select(i, C("lat").alias(f"lat{n}"), C("lon").alias(f"lon{n}"), (C(i) % 10).alias("m")) for n, (x, i) in enumerate(zip(_places(t), ("p_id", "a_id"), strict=True), 1))
+    nations = t("customer").select(C("c_custkey").alias("p_id"), C("c_nationkey").alias("m")), t("supplier").select(C("s_suppkey").alias("a_id"), C("s_nationkey").alias("m"))
+    a, b = (x.join(own, i).select(i, C("lat").alias(f"lat{n}"), C("lon").alias(f"lon{n}"), "m") for n, (x, own, i) in enumerate(zip(_places(t), nations, ("p_id", "a_id"), strict=True), 1))
     at = [C("lat1"), C("lon1"), C("lat2"), C("lon2")]
     return a.join(b, "m").where("lat1 <> lat2 or lon1 <> lon2").select("p_id", "a_id", F.round(geo.haversine(*at), 4).alias("km"), F.round(geo.bearing(*at), 4).alias("brg"))
 
@@ -509,9 +510,10 @@ def union_distinct(t):
     return union_all(t).distinct()
 
 
-@query("SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 0")
+@query("SELECT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 25")
 def except_rows(t):
-    return t("nation").select(C("n_nationkey").alias("k")).exceptAll(t("supplier").where("s_acctbal > 0").select(C("s_nationkey").alias("k")).distinct()).distinct()
+    l = t("lineitem")
+    return l.where("l_returnflag = 'R'").select(C("l_partkey").alias("k")).distinct().exceptAll(l.where("l_returnflag = 'A' and l_quantity > 25").select(C("l_partkey").alias("k")).distinct())
 
 
 @query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
