@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions.times import seconds_between, zone_day
+from .models import paths
 from .operators import aggs, dedup
 
 C = F.col
-#: Lower edges of the histogram of the largest gaps, seconds.
+#: Lower edges of the histogram of the largest gaps, seconds.
 GAP_EDGES = [0, 60, 300, 900, 3600, 10800, 21600, 43200]
 
 
@@ -230,3 +231,52 @@ def drop_private(live: DataFrame, ladd: DataFrame, as_of: dt.date) -> DataFrame:
 
 def flight_seconds(flights: DataFrame) -> DataFrame:
     return flights.select("flight_id", seconds_between(C("start_time"), C("end_time")).alias("seconds"))
+
+
+# Live reads
+
+
+def aircraft_snapshot(current: DataFrame, routes: DataFrame, private: DataFrame | None = None, as_of: dt.date | None = None) -> DataFrame:
+    """What the map shows now: rows with a position, the callsign trimmed (blank is null), the latest route of the callsign, and ``nav_modes`` as a list (null where it is none). Airframes on the privacy list, or marked so, are left out where the list is given."""
+    shown = current.where("lat is not null and lon is not null").withColumn("flight", F.nullif(F.trim("flight"), F.lit("")))
+    if private is not None:
+        shown = drop_private(shown.where(~F.coalesce("is_ladd", F.lit(False))).withColumn("callsign", C("flight")), private, as_of).drop("callsign")
+    known = routes.select(C("callsign").alias("_cs"), F.struct("origin_icao", "dest_icao").alias("route"))
+    out = shown.join(known, C("flight") == F.trim("_cs"), "left").drop("_cs", "is_ladd")
+    return out.withColumn("nav_modes", F.from_json("nav_modes", "array<string>"))
+
+
+def track(positions: DataFrame, hex: str, as_of: float, seconds: int = 1800, private: DataFrame | None = None) -> DataFrame:
+    """The trail of an airframe in the seconds before a time, oldest first; none for an airframe on the privacy list."""
+    trail = positions.where((F.lower("hex") == hex.strip().lower()) & (C("capture_ts") > as_of - seconds) & (C("capture_ts") <= as_of) & C("lat").isNotNull() & C("lon").isNotNull())
+    if private is not None:
+        trail = drop_private(trail.withColumn("callsign", F.lit(None).cast("string")), private, dt.datetime.fromtimestamp(as_of, dt.timezone.utc).date())
+    return trail.select("lon", "lat", "capture_ts", "alt_baro").orderBy("capture_ts")
+
+
+def flight_paths(requests: DataFrame, flights: DataFrame, path: DataFrame, fixes: DataFrame, private: DataFrame | None = None, as_of: dt.date | None = None) -> DataFrame:
+    """(flight_id, status, points) for requested ids (``flight_id`` as text): the rungs of a ladder.
+
+    ``settled``: the path that was built. ``settled_empty``: its day has been built, and there is none. ``provisional``: the day is yet to come, so the fixes are fused now, in a contest with the airframe's other
+    flights. ``denied``: no such id, a flight without a window or on the privacy list, or no path at all to tell how far the build has come; it has the same empty shape.
+    """
+    asked = requests.select(C("flight_id").alias("request")).distinct().withColumn("flight_id", F.when(C("request").rlike("^-?[0-9]+$"), C("request").try_cast("long")))
+    known = flights.select("flight_id", F.lower("icao24").alias("hex"), F.trim("callsign").alias("callsign"), "start_time", "end_time", F.coalesce(C("is_ladd"), F.lit(0)).alias("_listed"))
+    if private is not None:
+        known = drop_private(known.where("_listed = 0"), private, as_of)
+    head = path.agg(F.max("day_key").alias("_head"))  # one row
+    j = asked.join(known, "flight_id", "left").crossJoin(F.broadcast(head))
+    point = F.struct(F.unix_seconds("ts").alias("ts"), "lat", "lon", "alt_ft", "on_ground", "gs_kt", "track_deg", "source")
+    wanted = j.select("flight_id").where("flight_id is not null").distinct()
+    built = path.join(wanted, "flight_id", "left_semi").groupBy("flight_id").agg(F.array_sort(F.collect_list(point)).alias("_settled"))
+    j = j.join(built, "flight_id", "left")
+    late = C("hex").isNotNull() & C("_settled").isNull() & (F.to_date("start_time") > C("_head")) & C("end_time").isNotNull()
+    open_ = j.where(late).select("flight_id", "hex")
+    rivals = flights.join(open_.select(C("hex").alias("_hex")).distinct(), F.lower("icao24") == C("_hex"), "left_semi")
+    seen = fixes.join(open_.select(C("hex").alias("icao24")).distinct(), "icao24", "left_semi")
+    fused = paths.fct_flight_path(seen, rivals).join(open_.select("flight_id").distinct(), "flight_id", "left_semi")
+    now = fused.groupBy("flight_id").agg(F.array_sort(F.collect_list(point)).alias("_now"))
+    none = F.array().cast(built.schema["_settled"].dataType)
+    served = F.when(C("hex").isNull(), "denied").when(C("_settled").isNotNull(), "settled").when(C("start_time").isNull() | C("_head").isNull(), "denied").when(F.to_date("start_time") <= C("_head"), "settled_empty").when(C("end_time").isNull(), "denied").otherwise("provisional")
+    out = j.join(now, "flight_id", "left").withColumn("status", served)
+    return out.select(C("request").alias("flight_id"), "status", F.when(C("status") == "settled", C("_settled")).when(C("status") == "provisional", F.coalesce("_now", none)).otherwise(none).alias("points"))

@@ -12,6 +12,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -150,19 +151,47 @@ def traces(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(lambda it: (points for pdf in it for points in _points(bytes(c) for c in pdf["content"])), TRACE_POINT)
 
 
+class _Chain(io.RawIOBase):
+    """Several files as one stream; each is opened when the one before has ended."""
+
+    def __init__(self, paths: Sequence[str]):
+        self.rest, self.now = list(paths), None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, room) -> int:
+        while self.now is not None or self.rest:
+            if self.now is None:
+                fs, path = pafs.FileSystem.from_uri(self.rest[0])
+                self.now, self.rest = fs.open_input_stream(path, compression=None), self.rest[1:]
+            if got := self.now.read(len(room)):
+                room[: len(got)] = got
+                return len(got)
+            self.now.close()
+            self.now = None
+        return 0
+
+
 def traces_tar(spark: SparkSession, path: str) -> DataFrame:
-    """Points of the trace documents in tar files, a file to a task; members stream, corrupt ones are passed over."""
-    files = spark.read.format("binaryFile").load(path).select("content").repartition(64)
+    """Points of the trace documents in tar files, an archive to a task. Parts of one archive (``x.tar.aa``, ``x.tar.ab``, ...) are one stream in the order of their names. Only a member is in memory at a time;
+    corrupt ones are passed over, and an archive that breaks off gives the members before."""
+    names = spark.read.format("binaryFile").load(path).select("path")
+    stem = F.regexp_replace("path", r"(\.tar)\.[a-z]{2}$", "$1")
+    archives = names.groupBy(stem.alias("archive")).agg(F.array_sort(F.collect_list("path")).alias("parts"))
 
     def run(it):
         for pdf in it:
-            for content in pdf["content"]:
-                with tarfile.open(fileobj=io.BytesIO(bytes(content)), mode="r|*") as tar:
-                    for m in tar:
-                        if m.isfile():
-                            yield from _points(iter([tar.extractfile(m).read()]))
+            for parts in pdf["parts"]:
+                try:
+                    with tarfile.open(fileobj=io.BufferedReader(_Chain(list(parts)), 1 << 20), mode="r|*") as tar:
+                        for m in tar:
+                            if m.isfile():
+                                yield from _points(iter([tar.extractfile(m).read()]))
+                except tarfile.ReadError:
+                    continue
 
-    return files.mapInPandas(run, TRACE_POINT)
+    return archives.mapInPandas(run, TRACE_POINT)
 
 
 def zip_csv(raw: bytes, member: str) -> list[dict[str, str]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,18 +55,45 @@ def read_generation(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/gen={generations(spark, path)[-1]}")
 
 
-def stage_and_swap(df: DataFrame, path: str) -> None:
-    """Writes beside the table and swaps only a table with rows in."""
+def stage_and_swap(df: DataFrame, path: str) -> str:
+    """Writes a version of the table and then points to it; an empty one is refused. The pointer is replaced in one step, so at any time, also after a crash, readers (``read_swapped``) see one whole version. The version
+    before the last stays for readers that have begun; older ones go."""
     spark = df.sparkSession
-    stage = f"{path.rstrip('/')}__stage"
-    df.write.mode("overwrite").parquet(stage)
-    fs, p = _fs(spark, path)
-    s = _fs(spark, stage)[1]
-    if not spark.read.schema(df.schema).parquet(stage).take(1):
-        fs.delete(s, True)
+    version = f"{path.rstrip('/')}/v={uuid.uuid4().hex}"
+    df.write.parquet(version)
+    fs, p = _fs(spark, version)
+    if not spark.read.schema(df.schema).parquet(version).take(1):
+        fs.delete(p, True)
         raise ValueError("an empty table is not swapped in")
-    fs.delete(p, True)
-    fs.rename(s, p)
+    before = _pointed(spark, path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fresh, pointer = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}") for name in (f"_pointer-{uuid.uuid4().hex}", "_pointer"))
+    out = fs.create(fresh)
+    out.write(bytearray(version.encode()))
+    out.close()
+    overwrite_ = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite_[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri() if fresh.toUri().getScheme() else fs.getUri(), conf).rename(fresh, pointer, overwrite_)
+    keep = {x.rsplit("/", 1)[-1] for x in (version, before or "")}
+    for s in fs.listStatus(pointer.getParent()):
+        if s.getPath().getName().startswith("v=") and s.getPath().getName() not in keep:
+            fs.delete(s.getPath(), True)
+    return version
+
+
+def _pointed(spark: SparkSession, path: str) -> str | None:
+    fs, pointer = _fs(spark, f"{path.rstrip('/')}/_pointer")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def read_swapped(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(_pointed(spark, path))
 
 
 def replace_dedup(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -81,10 +82,10 @@ def upsert_latest(path: str, keys: Sequence[str], version: str, ties: Sequence[s
         spark = batch.sparkSession
         fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        last = max((int(s.getPath().getName().removeprefix("gen=")) for s in fs.listStatus(fs_path) if s.getPath().getName().startswith("gen=")), default=-1) if fs.exists(fs_path) else -1
+        held = [int(s.getPath().getName().removeprefix("gen=")) for s in fs.listStatus(fs_path) if s.getPath().getName().startswith("gen=")] if fs.exists(fs_path) else []
         rows = batch
         # a replayed batch finds its own generation and builds it again from the one before
-        base = max((g for g in range(last, -1, -1) if g < batch_id), default=-1)
+        base = max((g for g in held if g < batch_id), default=-1)
         if base >= 0:
             rows = spark.read.schema(batch.schema).parquet(f"{path}/gen={base}").unionByName(batch)
         merged = dedup.latest_per_key(rows, keys, version, ties)
@@ -94,12 +95,26 @@ def upsert_latest(path: str, keys: Sequence[str], version: str, ties: Sequence[s
         merged.write.mode("overwrite").parquet(f"{path}/gen={batch_id}")
         if then:
             then(spark.read.schema(batch.schema).parquet(f"{path}/gen={batch_id}"), batch_id)
-        for g in range(0, base):
+        for g in (g for g in held if g < base):  # the one superseded last
             fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/gen={g}"), True)
 
     return run
 
 
+def enriched(stream: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """A stream with the columns of static tables: ``dims`` is column of the stream -> (table, its key). Each batch reads the tables as they are then; rows without a match keep nulls, keys of a table should be unique."""
+    out = stream
+    for column, (table, key) in dims.items():
+        rest = [c for c in table.columns if c != key]
+        out = out.join(table.select(F.col(key).alias(f"_{column}"), *rest), F.col(column) == F.col(f"_{column}"), "left").drop(f"_{column}")
+    return out
+
+
+def versioned(root: str, name: str, schema: StructType, logic: int) -> str:
+    """Where a query keeps its checkpoint and state: a folder of its own for each schema and version of its logic, so a changed query starts anew beside the old one instead of failing on its state."""
+    return f"{root}/{name}/v{logic}-{hashlib.sha256(schema.json().encode()).hexdigest()[:12]}"
+
+
 def current_generation(spark: SparkSession, path: str, schema) -> DataFrame:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

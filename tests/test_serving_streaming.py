@@ -105,6 +105,11 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.stage_and_swap(df.limit(0), f"{t}/swap")
     assert spark.read.parquet(f"{t}/swap").count() == 2
+    first = sinks.read_swapped(spark, f"{t}/swap")
+    for v in (3, 4):
+        sinks.stage_and_swap(df.withColumn("v", F.lit(v)), f"{t}/swap")
+        assert {r.v for r in sinks.read_swapped(spark, f"{t}/swap").collect()} == {v}
+        assert v == 4 or first.count() == 2  # a reader that has begun still has its version
     ledger = spark.createDataFrame([("a", "loaded", 1), ("b", "pending", 2)], "path string, status string, n int")
     news = spark.createDataFrame([("b", "loaded", None), ("c", "pending", 3)], "path string, status string, n int")
     assert sorted(map(tuple, sinks.upsert_ledger(ledger, news, "path", ["n"]).collect())) == [("a", "loaded", 1), ("b", "loaded", 2), ("c", "pending", 3)]
