@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-import time
+import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: An Arrow batch that Python gets holds about so many bytes, however long the texts are.
+#: A task works on so many bytes of a batch at a time (or one row), however long the texts are.
 BATCH_BYTES = 8 << 20
+#: Delete shuffle files when the action that made them ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see (``spark.checkpoint.dir``); a local one is set only where it is unset."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The folder that the driver and all executors see (``spark.checkpoint.dir``). Without the setting a local session uses a folder of its own; a cluster is refused, whose machines
+    would each write to their own disk."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file:///tmp/checkpoints/driftline"
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -30,32 +38,71 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/driftline/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write a table in the shared folder and read it again."""
+@contextmanager
+def _cleaning(spark: SparkSession):
+    """Shuffle files of the actions inside go when each ends; the caller's setting comes back."""
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+
+
+def materialize(df: DataFrame, label: str, held: list[str] | None = None) -> DataFrame:
+    """Cut the lineage: write a table in the shared folder and read it again. Its path is added to ``held``, for ``remove`` when it has been read for the last time."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with _cleaning(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    if held is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of results that nothing refers to any more, before the next large shuffle adds its own."""
-    for _ in range(2):  # what Python lets go first is garbage of the JVM only then
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder, through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound an Arrow batch by bytes, so that a task's memory doesn't follow the length of its texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables in the shared folder, and empty the list."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(conf).delete(p, True)
+
+
+def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``BATCH_BYTES`` of text, of a row at least. An empty batch has none."""
+    sizes = np.full(batch.num_rows, 64, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    if sizes.sum() <= BATCH_BYTES:
+        if batch.num_rows:
+            yield batch
+        return
+    group = (np.cumsum(sizes) - sizes) // BATCH_BYTES
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
+    for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        yield batch.slice(a, z - a)
+
+
+def in_task(run):
+    """``run`` for ``mapInArrow``, over batches of bounded size. When the task ends, its memory goes back to the system: a Python worker serves one task after the other,
+    also of other operators, and would keep what its largest one took."""
+
+    def task(batches):
+        try:
+            yield from run(s for b in batches for s in cut(b))
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # a C library without it
+                pass
+
+    return task
 
 
 def in_fold(column: str, modulus: int, held_out: int):
@@ -67,40 +114,45 @@ def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-_caches: list[dict] = []
-
-
-def cache() -> dict:
-    """A dict that lives as long as its Python worker, until an operator that doesn't use it calls ``drop_caches``."""
-    _caches.append({})
-    return _caches[-1]
-
-
-def drop_caches() -> None:
-    """Workers serve one operator after the other; what the last one remembered would add to the next one's memory."""
-    if any(_caches):
-        for c in _caches:
-            c.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-
-
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A null text counts as empty."""
-    drop_caches()
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
 def chunked(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Texts cut at ASCII white space: (offsets, codes, distinct chunks). Text i has the chunks ``codes[offsets[i]:offsets[i + 1]]``, among which an empty one
     may stand at its ends. Arrow cuts and numbers; Python sees each distinct chunk once. A null text has no chunk. ``lower`` folds A-Z."""
+    offsets, codes, chunks = coded_chunks(column, lower)
+    return offsets, codes, chunks.to_pylist()
+
+
+def coded_chunks(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The same with the distinct chunks as an Arrow array."""
     column = column.fill_null("")
     if lower:
         column = pc.ascii_lower(column)
     cut = pc.ascii_split_whitespace(column)
     coded = cut.flatten().dictionary_encode()
     offsets = cut.offsets.to_numpy().astype(np.int64)
-    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
+_WORD = re.compile(r"\w+")
+
+
+def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of word characters of each text, in lower case: (offsets, codes, hashes). Word i of all has the hash ``hashes[codes[i]]``; hashes are distinct and ascending. Python sees each distinct chunk once."""
+    offsets, codes, chunks = chunked(column)
+    found = [_WORD.findall(c.lower()) for c in chunks]
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    hashes, flat = np.unique(np.fromiter((xxhash.xxh3_64_intdigest(w) for ws in found for w in ws), np.uint64, int(size.sum())), return_inverse=True)
+    if not len(flat):
+        return np.zeros(len(offsets), np.int64), flat.astype(np.int64), hashes
+    own = size[codes]
+    ends = np.concatenate([[0], np.cumsum(own)])
+    first = np.cumsum(size) - size
+    at = np.arange(ends[-1]) + np.repeat(first[codes] - ends[:-1], own)
+    return ends[offsets], flat[at].astype(np.int64), hashes
 
 
 def joined(values: list[bytes], offsets: np.ndarray, codes: np.ndarray) -> list[memoryview]:
@@ -152,3 +204,22 @@ def _emit(counts: dict, schema: pa.Schema):
         else:
             columns = [keys, list(counts.values())]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of results that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound an Arrow batch by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def cache() -> dict:
+    return {}
+
+
+def drop_caches() -> None:
+    """Nothing is kept between tasks by ``in_task``."""
