@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, remove
+
+
+#: Parts to which the neighbours of a node are dealt.
+SALTS = 16
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
@@ -16,17 +20,23 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
     other edges is absent. Empty edges give an empty result.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} is not null and {b} is not null and {a} <> {b}").distinct()
-    e = materialize(e, "edges")
+    held: list[str] = []
+    e = materialize(e, "edges", held)
     for _ in range(most):
         if _settled(e):
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # a star's middle has many neighbours: they are dealt by a salt, and its smallest one goes to all salts
+        spread = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         # repeated edges go at the end of the round; there are two for each of its start at most
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        e = materialize(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        done = list(held)
+        held.clear()
+        e = materialize(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges", held)
+        remove(e.sparkSession, done)
     else:
         raise RuntimeError(f"components did not settle in {most} rounds")
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))

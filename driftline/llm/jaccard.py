@@ -4,14 +4,15 @@
 2. A pair that reaches the threshold shares an n-gram among the rarest (1 - t) |set| + 1 of each (prefix bound). Any common
    order will do for that; frequent n-grams come last, found by counts over all documents. Documents that share a prefix
    n-gram are tied if neither their sizes (size bound) nor the parity maps of their sets (a bound of the sets' difference) rule out a link; the ties' components are candidate clusters.
+   The documents of a hot n-gram are dealt to several tasks, whose lists are tied to each other.
 3. In a cluster, document by n-gram incidence is multiplied by its transpose in blocks: blocks of columns within a task,
-   tiles of about ``BLOCK`` documents over tasks for large clusters, only between sizes that can reach the threshold. Overlap
+   tiles of about ``BLOCK`` documents and ``CELLS`` n-grams over tasks for large clusters, only between sizes that can reach the threshold. Overlap
    counts accumulate, and a product stops when what is left of the columns can lift no pair to its bound.
 4. A task sends the links' spanning forest, not all pairs. In a large cluster, first each block is multiplied by itself and a few anchors; then blocks of documents outside its
    largest component meet all others that they could link with. Pairs inside one component need no further product.
 
 Exact but for collisions of 64-bit hashes. Defined results: without words or text a set is empty and linked with nothing;
-with fewer than n words the whole sequence is one n-gram. Repeated ids are one node. A row without id has a null component.
+with fewer than n words the whole sequence is one n-gram. Rows of one id are one node. A row without id has a null component.
 An empty table gives an empty result; extra columns are ignored.
 """
 
@@ -23,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunked, drop_caches, materialize, mix64, release, small_batches, table
+from .common import chunked, in_task, materialize, mix64, remove, table
 from .components import connected_components
 
-#: Documents of a tile, columns of a block.
-BLOCK, COLUMNS = 512, 4096
+#: Documents of a tile's block, n-grams of all its documents together (or one document), columns of a block of the product.
+BLOCK, CELLS, COLUMNS = 512, 500_000, 4096
 #: Least bits of a parity map; documents of an n-gram that are compared with each other.
-PARITY, LIST = 512, 512
+PARITY, LIST = 512, 4096
+#: A group of equal sets, and a hot n-gram's documents, are dealt over at most so many parts.
+SALTS = 64
 #: Documents of a band that go to all its blocks.
 ANCHORS = 8
 #: A frequent n-gram has a count of at least this share of documents: at most (mean set size) / SHARE of them.
@@ -39,7 +42,6 @@ _MUL = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the word n-grams of each text; words end at ASCII white space, A-Z is folded."""
-    drop_caches()
     offsets, codes, chunks = chunked(column, lower=True)
     filled = np.fromiter(map(bool, chunks), bool, len(chunks))[codes] if chunks else np.zeros(0, bool)
     if not filled.all():  # empty chunks at the ends of texts are no words
@@ -103,30 +105,37 @@ def frequent_ngrams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield flush()
 
-    counted = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LOCAL, SHARE * rows))
+    counted = docs.select("text").mapInArrow(in_task(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LOCAL, SHARE * rows))
     got = counted.toPandas().sort_values("gram")
     return got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
 
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, sig, bits, prefix): size, 128-bit signature, parity bits and rarest n-grams of each document's set."""
+    """(doc_id, n_shingles, sig, bits, prefix, hot): size, 128-bit signature, parity bits and rarest n-grams of each document's set. ``hot`` has those of the prefix that more than
+    ``LIST`` documents hold, each with the number of parts that its documents are dealt to."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, n))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("bits", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    hot = pa.list_(pa.struct([("gram", pa.int64()), ("parts", pa.int32())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()), ("bits", pa.binary()), ("prefix", pa.list_(pa.int64())), ("hot", hot)])
 
-    def rare(s: np.ndarray) -> list[int]:
+    def rare(s: np.ndarray) -> tuple[list[int], list[dict]]:
         grams, counts = shared.value
         size = prefix_size(len(s), percent)
-        if len(grams) and len(s):
-            at = np.minimum(np.searchsorted(grams, s), len(grams) - 1)
-            s = s[np.argsort(np.where(grams[at] == s, counts[at], 0), kind="stable")]
-        return s[:size].tolist()
+        if not len(grams) or not len(s):
+            return s[:size].tolist(), []
+        at = np.minimum(np.searchsorted(grams, s), len(grams) - 1)
+        times = np.where(grams[at] == s, counts[at], 0)
+        order = np.argsort(times, kind="stable")[:size]
+        s, times = s[order], times[order]
+        plain = int(np.searchsorted(times, LIST, "right"))
+        return s[:plain].tolist(), [{"gram": g, "parts": min(SALTS, -(-k // LIST))} for g, k in zip(s[plain:].tolist(), times[plain:].tolist(), strict=True)]
 
     def run(batches):
         for b in batches:
             sets = shingle_sets(b.column("text"), n)
-            yield table(schema, doc_id=b.column("doc_id").to_pylist(), n_shingles=list(map(len, sets)), sig=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], bits=list(map(parity_bits, sets)), prefix=list(map(rare, sets)))
+            prefix, held = zip(*map(rare, sets), strict=True)
+            yield table(schema, doc_id=b.column("doc_id"), n_shingles=list(map(len, sets)), sig=[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], bits=list(map(parity_bits, sets)), prefix=prefix, hot=held)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig binary, bits binary, prefix array<long>")
+    return docs.mapInArrow(in_task(run), "doc_id long, n_shingles long, sig binary, bits binary, prefix array<long>, hot array<struct<gram: long, parts: int>>")
 
 
 def parity_bits(s: np.ndarray) -> bytes:
@@ -155,6 +164,8 @@ def may_link(n1: int, bits1: bytes, n2: int, bits2: bytes, percent: int) -> bool
 
 def list_forest(rows: list[tuple[int, int, bytes]], percent: int) -> list[tuple[int, int]]:
     """Spanning forest of the pairs of one n-gram's documents (size, id, parity map), sorted by size, that may link."""
+    if len(rows) > 16:
+        return _long_forest(rows, percent)
     root = list(range(len(rows)))
     out = []
 
@@ -176,40 +187,104 @@ def list_forest(rows: list[tuple[int, int, bytes]], percent: int) -> list[tuple[
     return out
 
 
+def _long_forest(rows: list[tuple[int, int, bytes]], percent: int) -> list[tuple[int, int]]:
+    """The same for many documents: each one reached is compared once with all that aren't yet, by maps of the shortest length."""
+    n = np.array([r[0] for r in rows])
+    d = [r[1] for r in rows]
+    maps = np.zeros((len(rows), PARITY // 64), np.uint64)
+    for i, (_, _, bits) in enumerate(rows):
+        maps[i] = np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, PARITY // 64), axis=0)
+    left = np.arange(len(rows))
+    out = []
+    while len(left):
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            i = todo.pop()
+            a, z = np.searchsorted(n[left], [-(-percent * n[i] // 100), 100 * n[i] // percent + 1])
+            near = left[a:z]
+            differ = np.bitwise_count(maps[near] ^ maps[i]).sum(1)
+            may = differ <= n[near] + n[i] - 2 * needed(n[near], n[i], percent)
+            long = np.flatnonzero(may & (n[near] > 2 * PARITY)) if n[i] > 2 * PARITY else np.zeros(0, int)  # longer maps tell more
+            may[long] = [may_link(*rows[i][::2], *rows[j][::2], percent) for j in near[long]]
+            hit = near[may]
+            out += [(d[i], d[j]) for j in hit.tolist() if d[i] != d[j]]
+            todo += hit.tolist()
+            left = np.concatenate([left[:a], near[~may], left[z:]])
+    return out
+
+
 def prefix_ties(reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b): ties of documents that share a prefix n-gram and may link, a forest for each n-gram. Of n-grams with over ``LIST`` documents, each is tied to the first of its run of neighbouring sizes."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """(a, b): ties of documents that share a prefix n-gram and may link, a forest for each list of documents. A list is that of an n-gram, or a part of a hot one's. In lists of over ``LIST`` documents
+    and in parts, each is tied to the first of its run of neighbouring sizes, and so are the runs of a hot n-gram's parts."""
+    schema = pa.schema([("gram", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+    shape = "gram long, a long, b long, low long, high long"
+
+    def emit(found: set):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
 
     def run(batches):
-        gram, rows, hub, last = None, [], None, 0
-        found: set[tuple[int, int]] = set()
+        """Ties have ends a and b; a run of a hot n-gram's list has a document and the run's least and largest sizes."""
+        key, rows, hub, low, last = None, [], None, 0, 0
+        found: set[tuple] = set()
+
+        def close():
+            nonlocal rows, hub
+            found.update((None, *p, None, None) for p in list_forest(rows, percent))
+            if hub is not None and key[2] > 1:
+                found.add((key[0], hub, None, low, last))
+            rows, hub = [], None
+
         for b in batches:
-            for g, n, d, bits in zip(*(b.column(k).to_pylist() for k in ("gram", "n", "rep", "bits")), strict=True):
-                if g != gram:
-                    found.update(list_forest(rows, percent))
-                    gram, rows, hub, last = g, [], None, 0
-                if hub is None and len(rows) < LIST:
+            for gram, part, parts, n, d, bits in zip(*(b.column(k).to_pylist() for k in ("gram", "part", "parts", "n", "rep", "bits")), strict=True):
+                if (gram, part, parts) != key:
+                    close()
+                    key = (gram, part, parts)
+                if hub is None and len(rows) < LIST and parts == 1:
                     rows.append((n, d, bits))
                     continue
                 for m, e in [(r[0], r[1]) for r in rows] + [(n, d)]:
                     if hub is None or 100 * last < percent * m:
-                        hub = e
+                        if hub is not None and parts > 1:
+                            found.add((gram, hub, None, low, last))
+                        hub, low = e, m
                     elif hub != e:
-                        found.add((hub, e))
+                        found.add((None, hub, e, None, None))
                     last = m
                 rows = []
             if len(found) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+                yield emit(found)
                 found.clear()
-        found.update(list_forest(rows, percent))
+        close()
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+            yield emit(found)
 
-    entries = reps.select(F.explode("prefix").alias("gram"), "rep")
-    shared = entries.withColumn("k", F.count("*").over(Window.partitionBy("gram"))).where("k > 1").select("gram", "rep")
-    described = shared.join(reps.select("rep", F.col("n_shingles").alias("n"), "bits"), "rep")
-    dealt = described.repartition("gram").sortWithinPartitions("gram", "n", "rep")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    def merge(batches):
+        """Ties of a hot n-gram's runs, in order of their least sizes."""
+        gram, hub, top = None, None, 0
+        for b in batches:
+            found = set()
+            for g, d, low, high in zip(*(b.column(k).to_pylist() for k in ("gram", "a", "low", "high")), strict=True):
+                if g != gram or 100 * top < percent * low:
+                    gram, hub, top = g, d, high
+                elif hub != d:
+                    found.add((None, hub, d, None, None))
+                top = max(top, high)
+            if found:
+                yield emit(found)
+
+    part = F.pmod(F.xxhash64("rep", "gram"), F.col("parts")).cast("int")
+    plain = reps.select(F.explode("prefix").alias("gram"), F.lit(1).alias("parts"), "rep")
+    hot = reps.select(F.explode("hot").alias("h"), "rep").select("h.gram", "h.parts", "rep")
+    entries = plain.unionByName(hot).withColumn("part", part)
+    shared = entries.withColumn("k", F.count("*").over(Window.partitionBy("gram", "part"))).where("k > 1 or parts > 1").select("gram", "part", "parts", "rep")
+    described = shared.join(reps.select("rep", F.col("n_shingles").alias("n"), "bits").hint("merge"), "rep")
+    dealt = described.repartition("gram", "part").sortWithinPartitions("gram", "part", "parts", "n", "rep")
+    held: list[str] = []
+    found = materialize(dealt.mapInArrow(in_task(run), shape), "lists", held)
+    runs = found.where("gram is not null").repartition("gram").sortWithinPartitions("gram", "low", "a").mapInArrow(in_task(merge), shape)
+    ties = materialize(found.where("gram is null").unionByName(runs).select("a", "b").distinct(), "ties")
+    remove(reps.sparkSession, held)
+    return ties
 
 
 def _banded(members: DataFrame, percent: int) -> DataFrame:
@@ -222,13 +297,18 @@ def _upto(c: str):
     return F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
 
 
+def _cuts(k, cells):
+    """Blocks of ``k`` documents with ``cells`` n-grams in all: a document in each at most."""
+    return F.least(k, F.greatest(F.ceil(k / BLOCK), F.ceil(cells / CELLS))).cast("int")
+
+
 def first_tiles(members: DataFrame, percent: int) -> DataFrame:
     """(rep, cluster, n, whole, tiles): a cluster of up to ``BLOCK`` documents is one tile (``whole``). Larger ones are cut into bands of sizes and blocks by a hash,
     a document to one block; about ``ANCHORS`` documents of a band go to all blocks that they can link with, to tie those together."""
     banded = _banded(members, percent)
-    sizes = banded.groupBy("cluster", "band").agg(F.count("*").alias("k"))
-    whole = sizes.groupBy("cluster").agg(F.sum("k").alias("total"))
-    cuts = sizes.withColumn("cuts", F.ceil(F.col("k") / BLOCK).cast("int"))
+    sizes = banded.groupBy("cluster", "band").agg(F.count("*").alias("k"), F.sum("n").alias("cells"))
+    whole = sizes.groupBy("cluster").agg(F.sum("k").alias("total"), F.sum("cells").alias("all_cells"))
+    cuts = sizes.withColumn("cuts", _cuts(F.col("k"), F.col("cells"))).drop("cells")
     near = lambda d, name: cuts.select("cluster", (F.col("band") + d).alias("band"), F.col("cuts").alias(name))
     plan = cuts.join(near(-1, "above"), ["cluster", "band"], "left").join(near(1, "below"), ["cluster", "band"], "left").join(whole, "cluster")
     at = banded.join(plan, ["cluster", "band"])
@@ -236,7 +316,7 @@ def first_tiles(members: DataFrame, percent: int) -> DataFrame:
     everywhere = F.concat(F.transform(_upto("cuts"), name(0)), F.transform(_upto("above"), name(1)), F.transform(_upto("below"), name(-1)))
     anchor = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("k") / ANCHORS)) == 0
     own = F.array(name(0)(F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")))
-    small = F.col("total") <= BLOCK
+    small = (F.col("total") <= BLOCK) & (F.col("all_cells") <= CELLS)
     return at.select("rep", "cluster", "n", small.alias("whole"), F.when(small, F.array(F.lit("-"))).when(anchor, everywhere).otherwise(own).alias("tiles"))
 
 
@@ -246,7 +326,7 @@ def last_tiles(members: DataFrame, percent: int) -> DataFrame:
     counted = members.groupBy("cluster", "component").agg(F.count("*").alias("k"))
     largest = counted.groupBy("cluster").agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("components")).where("components > 1").select("cluster", F.col("m.component").alias("largest"))
     banded = _banded(members.join(largest, "cluster"), percent).withColumn("other", F.col("component") != F.col("largest"))
-    cut = lambda test: F.ceil(F.count_if(test) / BLOCK).cast("int")
+    cut = lambda test: F.coalesce(_cuts(F.count_if(test), F.sum(F.when(test, F.col("n")))), F.lit(0))
     cuts = banded.groupBy("cluster", "band").agg(cut(F.col("other")).alias("o0"), cut(~F.col("other")).alias("g0"))
     near = lambda d, mark: cuts.select("cluster", (F.col("band") + d).alias("band"), F.col("o0").alias(f"o{mark}"), F.col("g0").alias(f"g{mark}"))
     plan = cuts.join(near(-1, "1"), ["cluster", "band"], "left").join(near(1, "2"), ["cluster", "band"], "left")
@@ -323,30 +403,34 @@ def _multiply(placed: DataFrame, n: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
 
     dealt = placed.select("rep", "cluster", "tile", "whole", "text").repartition("cluster", "tile").sortWithinPartitions("cluster", "tile", "rep")
-    return dealt.mapInArrow(run, "a long, b long, whole boolean").where("a <> b")
+    return dealt.mapInArrow(in_task(run), "a long, b long, whole boolean").where("a <> b")
+
+
+def equal_sets(filled: DataFrame) -> DataFrame:
+    """(doc_id, rep): the smallest id of the documents with an equal set. A group is dealt by a hash of its ids, so a hot one meets in no task: first the parts find their smallest ids, then the group that of its parts."""
+    salted = filled.select("doc_id", "sig", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    parts = salted.groupBy("sig", "salt").agg(F.min("doc_id").alias("least"))
+    whole = parts.groupBy("sig").agg(F.min("least").alias("rep"))
+    up = parts.select("sig", "salt").join(whole.hint("merge"), "sig")
+    return salted.join(up.hint("merge"), ["sig", "salt"]).select("doc_id", "rep")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id): for each row the size of its set and the smallest id that links reach from it."""
     spark = docs.sparkSession
-    small_batches(spark)
+    held: list[str] = []
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = materialize(document_sets(rows, n, percent), "sets")
+    sets = materialize(document_sets(rows, n, percent), "sets", held)
     filled = sets.where("n_shingles > 0 and doc_id is not null")
-    # equal sets: a class, whose representative is its smallest id
-    classes = filled.groupBy("sig").agg(F.min("doc_id").alias("rep"))
-    member = materialize(filled.select("doc_id", "sig", "n_shingles").join(classes, "sig").select("doc_id", "rep", "n_shingles"), "classes")
-    reps = filled.join(member.where("doc_id = rep").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
-    clusters = connected_components(materialize(prefix_ties(reps, percent), "ties"))
-    release(spark)
-    clusters = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    member = materialize(equal_sets(filled), "classes")
+    # joins are merged at every size: what a broadcast would save on small tables makes the large ones no lighter
+    reps = filled.join(member.where("doc_id = rep").select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
+    clusters = connected_components(prefix_ties(reps, percent)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     sizes = filled.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-    placed = first_tiles(sizes.join(clusters, "rep").distinct(), percent)
+    placed = materialize(first_tiles(sizes.join(clusters, "rep").distinct(), percent), "placed", held)
     # the texts of candidates, written once for both rounds; they are lighter than their sets
-    candidates = materialize(rows.withColumnRenamed("doc_id", "rep").join(placed, "rep"), "candidates")
-    release(spark)
+    candidates = materialize(rows.withColumnRenamed("doc_id", "rep").join(placed.hint("merge"), "rep"), "candidates", held)
     links = materialize(_multiply(candidates.select("rep", "cluster", "whole", "text", F.explode("tiles").alias("tile")), n, percent), "links")
-    release(spark)
     single = links.where("whole").select(F.col("b").alias("rep"), F.col("a").alias("component"))
     large = candidates.where("not whole").select("rep", "cluster", "n").distinct()
     roots = single
@@ -357,12 +441,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         more = materialize(_multiply(rest, n, percent), "links")
         joined = connected_components(links.where("not whole").unionByName(more))
         roots = single.unionByName(joined.select(F.col("node").alias("rep"), "component"))
-    grouped = member.select("doc_id", "rep").distinct().join(roots, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
-    return sets.select("doc_id", "n_shingles").join(grouped, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    grouped = member.distinct().join(roots, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
+    sized = materialize(sets.select("doc_id", "n_shingles"), "sizes")
+    remove(spark, held)
+    return sized.join(grouped, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their group: one row of the group's smallest id. Rows without an id stay."""
+    """The rows of ``docs``, all columns, that stand for their group: those of the group's smallest id, one for each text that this id has. Among rows that repeat id and text the one with the
+    smallest hash of all columns stays. Rows without an id stay."""
     groups = near_duplicates(docs, n=n, percent=percent)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    # dealt by the id already; rows of an id are few
+    own = Window.partitionBy("doc_id", "_text").orderBy("_row")
+    kept = docs.join(first, "doc_id", "left_semi").withColumns({"_text": F.sha1(F.col("text").cast("binary")), "_row": F.xxhash64(*docs.columns)})
+    one = kept.withColumn("_k", F.row_number().over(own)).where("_k = 1").select(*docs.columns)
+    return one.unionByName(docs.where("doc_id is null"))

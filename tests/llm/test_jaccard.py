@@ -56,6 +56,59 @@ def test_groups_equal_brute_force(spark, monkeypatch, n, percent, block, most):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, n, percent)
 
 
+@pytest.mark.parametrize("most", [2, 512])
+def test_hot_ngrams_are_dealt(spark, monkeypatch, most):
+    """A passage that most documents share: the documents of its n-grams are dealt to parts, whose runs are tied."""
+    monkeypatch.setattr(jaccard, "LIST", most)
+    monkeypatch.setattr(jaccard, "LOCAL", 1)
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(6)}" for _ in range(rng.randrange(0, 9))])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = jaccard.document_sets(docs, 4, 85).collect()
+    assert (most > 200) != any(h.parts > 1 for r in sets for h in r.hot)
+    got = jaccard.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 4, 85)
+
+
+def test_long_documents_and_many_cells(spark, monkeypatch):
+    """Tiles are bounded by n-grams too; a very long document meets its copy with an edit."""
+    monkeypatch.setattr(jaccard, "CELLS", 300)
+    rows = random_docs(11, 120)
+    long = [f"v{i}" for i in range(300_000)]
+    rows += [(10_001, " ".join(long)), (10_002, " ".join([*long[:150_000], "changed", *long[150_001:]])), (10_003, " ".join(long[:150_000]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {int(i): (k, int(c)) for i, k, c in brute(rows[:-3], 4, 85)}
+    assert {i: v for i, v in got.items() if i < 10_000} == want
+    assert got[10_001] == (299_997, 10_001) and got[10_002] == (299_997, 10_001) and got[10_003] == (149_997, 10_003)
+
+
+def test_forests_of_long_lists_equal_those_of_short_ones():
+    rng = np.random.default_rng(8)
+    base = [np.unique(rng.integers(-(2**63), 2**63 - 1, k)) for k in (40, 60, 1500, 3000)]
+    sets = [np.unique(np.concatenate([b[int(0.03 * len(b)) * k :], rng.integers(-(2**63), 2**63 - 1, 2)])) for b in base for k in (0, 0, 1, 2, 9, 20)]
+    rows = sorted((len(s), i, jaccard.parity_bits(s)) for i, s in enumerate(sets))
+
+    def groups(pairs):
+        root = {i: i for _, i, _ in rows}
+        find = lambda x: x if root[x] == x else find(root[x])
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in range(len(rows))]
+
+    every = [(x[1], y[1]) for k, x in enumerate(rows) for y in rows[k + 1 :] if 100 * x[0] >= 85 * y[0] and jaccard.may_link(x[0], x[2], y[0], y[2], 85)]
+    assert groups(jaccard._long_forest(rows, 85)) == groups(every)
+
+
+def test_repeated_ids_with_unlike_texts_stay(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    docs = spark.createDataFrame([(1, a, "x"), (1, b, "y"), (1, a, "z"), (2, a, "x"), (3, b, "x"), (None, a, "x")], "doc_id long, text string, source string")
+    got = jaccard.keep_one(docs).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, a), (1, b), (0, a)])
+    again = jaccard.keep_one(docs.orderBy("source", ascending=False)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_odd_rows(odd, none):
     got = jaccard.near_duplicates(odd).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute([(i, t) for i, t, *_ in ODD], 4, 85)
