@@ -4,10 +4,10 @@ Texts are cut at ASCII white space into chunks; each chunk is normalised and cut
 (NFC, white space, lower case, then a split pattern), and the pieces of a batch that no earlier batch had are encoded
 together: an index maps each adjacent pair with a rank to all its positions in the batch, the active ranks are applied in
 ascending order, and after each merge the lists of the neighbouring pairs are updated. Chunks are remembered, so a text's
-ids are joined from those of its chunks.
+ids are joined from those of its chunks. A file with another normaliser, cut, model or decoder than these is refused, so ids are never silently others.
 
 Defined results: a null or empty text has no ids and decodes to the empty string. Repeated rows and ids are kept, each row
-for itself. Very long texts need no special case: memory follows the distinct chunks, which are bounded by ``CHUNKS``.
+for itself. Very long texts need no special case: memory follows the distinct chunks of a batch.
 """
 
 from __future__ import annotations
@@ -26,10 +26,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cache, chunked, joined, small_batches, table
+from .common import chunked, in_task, joined, table
 
-#: Remembered chunks and pieces; at the limit the memory is emptied.
-CHUNKS, PIECES = 400_000, 300_000
+#: Characters of the chunks, and of the pieces, that a task remembers; at the limit its memory is emptied.
+ROOM = 1 << 20
+#: Ids that are spelled out at a time.
+SAID = 1 << 16
+#: The normaliser whose rules ``Pieces`` follows, as vocabulary files say it.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _SPACE = regex.compile(r"\s+")
 
 
@@ -47,12 +51,23 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        cut = spec["pre_tokenizer"]["pretokenizers"] if (spec.get("pre_tokenizer") or {}).get("type") == "Sequence" else [{}]
+        split, last = cut[0], {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        known = {
+            "normalizer": spec.get("normalizer") == NORMALIZER,
+            "pre_tokenizer": len(cut) == 2 and split.get("type") == "Split" and (split.get("behavior"), split.get("invert")) == ("Removed", True) and "Regex" in split["pattern"] and cut[1].items() >= last.items(),
+            "model": model["type"] == "BPE" and all(isinstance(m, list) for m in model["merges"][:1]) and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")),
+            "decoder": spec.get("decoder") is None and spec.get("post_processor") is None,
+            "added_tokens": not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")) and not any(_SPACE.search(t["content"]) for t in spec["added_tokens"]),
+        }
+        if not all(known.values()):
+            raise ValueError(f"{path}: this encoder doesn't know the file's {', '.join(k for k, ok in known.items() if not ok)}")
         self.ids: dict[str, int] = dict(model["vocab"])
         self.end = model.get("end_of_word_suffix") or ""
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.added).items()}
         self.size = max(self.tokens) + 1
-        self.pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.pattern = split["pattern"]["Regex"]
         self.ranks: dict[int, tuple[int, int]] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], (rank, self.ids[a + b]))
@@ -66,14 +81,17 @@ class Pieces:
 
     def __init__(self, vocabulary: Vocabulary):
         self.find = regex.compile(vocabulary.pattern).findall
+        # words of letters, and runs of ASCII marks without an apostrophe, are one piece each where the pattern says so
+        marks = string.punctuation.replace("'", "")
+        self.plain = r"[\p{L}]+" in vocabulary.pattern and self.find(f"a{marks}") == ["a", marks]
         self.added = vocabulary.added
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def of(self, chunk: str) -> list[str | int]:
         low = chunk.lower() if chunk.isascii() else self.normal(chunk)
         word = low.rstrip(string.punctuation)
-        # a word, or one with a run of ASCII marks behind it, needs no pattern
-        if word.isalpha():
+        # a word, or one with a run of ASCII marks behind it, needs no pattern; the marks hold no added token if a letter is before them only
+        if self.plain and word.isalpha() and (len(word) == len(low) or "'" not in low):
             return [word] if len(word) == len(low) else [word, low[len(word) :]]
         if self.special is None or not self.special.search(chunk):
             return self.find(low)
@@ -166,22 +184,24 @@ def encode_pieces(vocabulary: Vocabulary, pieces: list[str]) -> list[list[int]]:
 
 
 class ChunkEncoder:
-    """Remembers chunks. ``encode(pieces)`` gives the ids of pieces not seen before, ``make(ids)`` what a piece is worth, ``combine`` that of a chunk from its pieces' (several, or none)."""
+    """Remembers chunks within a task. ``encode(pieces)`` gives the ids of pieces not seen before, ``make(ids)`` what a piece is worth, ``combine`` that of a chunk from its pieces' (several, or none)."""
 
-    def __init__(self, pieces: Pieces, encode, make, combine=b"".join, room: tuple[int, int] = (CHUNKS, PIECES)):
+    def __init__(self, pieces: Pieces, encode, make, combine=b"".join, room: int = ROOM):
         self.pieces, self.encode, self.make, self.combine, self.room = pieces, encode, make, combine, room
         self.known: dict[str, object] = {}
         self.made: dict[str | int, object] = {}
+        self.held = 0
 
     def __call__(self, chunks: list[str]) -> list:
         """The values of distinct chunks."""
-        if len(self.known) > self.room[0]:
+        if self.held > self.room:
             self.known.clear()
-        if len(self.made) > self.room[1]:
             self.made.clear()
+            self.held = 0
         known, made = self.known, self.made
         fresh = [c for c in chunks if c not in known]
         if fresh:
+            self.held += sum(map(len, fresh))
             split = list(map(self.pieces.of, fresh))
             wanted = list({p for ps in split for p in ps if p not in made})
             words = [p for p in wanted if p.__class__ is str]
@@ -192,38 +212,32 @@ class ChunkEncoder:
         return list(map(known.__getitem__, chunks))
 
 
-def text_chunks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Chunks of a batch; A-Z is folded beforehand where no text could hold an added token, which has its case."""
-    return chunked(column, lower=not pc.any(pc.match_substring(column, "<|")).as_py())
+def text_chunks(column: pa.Array, added: dict[str, int]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Chunks of a batch; A-Z is folded beforehand where no text holds an added token, which has its case."""
+    return chunked(column, lower=not (added and pc.any(pc.match_substring_regex(column, "|".join(map(regex.escape, added)))).as_py()))
 
 
 def packer(code: str):
     return lambda ids: struct.pack(f"<{len(ids)}{code}", *ids)
 
 
-_encoders: dict[str, tuple[ChunkEncoder, Vocabulary]] = cache()
-
-
 def _encoder(path: str) -> tuple[ChunkEncoder, Vocabulary]:
-    """One for each vocabulary and Python worker; later tasks of the worker use it again."""
-    if path not in _encoders:
-        v = Vocabulary(path)
-        _encoders[path] = ChunkEncoder(Pieces(v), lambda ps: encode_pieces(v, ps), packer("i")), v
-    return _encoders[path]
+    """One for each task."""
+    v = Vocabulary(path)
+    return ChunkEncoder(Pieces(v), lambda ps: encode_pieces(v, ps), packer("i")), v
 
 
 def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids array<int>)."""
-    small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        encoder, _ = _encoder(vocabulary)
+        encoder, v = _encoder(vocabulary)
         for b in batches:
-            offsets, codes, chunks = text_chunks(b.column("text"))
+            offsets, codes, chunks = text_chunks(b.column("text"), v.added)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(joined(encoder(chunks), offsets, codes))], schema=schema)
 
-    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, ids array<int>")
+    return _rows(docs, doc_id, text).mapInArrow(in_task(run), "doc_id long, ids array<int>")
 
 
 def _lists(each: list) -> pa.ListArray:
@@ -241,27 +255,36 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         for b in batches:
             yield table(schema, doc_id=b.column("doc_id").to_pylist(), text=[" ".join(tokens[i] for i in ids or ()) for ids in b.column("ids").to_pylist()])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(in_task(run), "doc_id long, text string")
 
 
 def encode_digests(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids array<int>]): ids and decoded text are made by the operator and hashed in the task."""
-    small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches):
         encoder, v = _encoder(vocabulary)
-        spoken = [[f"{i} ".encode() for i in range(v.size)], [(v.tokens.get(i, "") + " ").encode() for i in range(v.size)]]
+        # ids and tokens are said with a space behind each, the last of which goes
+        spoken = [pa.array([f"{i} ".encode() for i in range(v.size)]), pa.array([(v.tokens.get(i, "") + " ").encode() for i in range(v.size)])]
+
+        def said(words: pa.Array, lists: pa.ListArray, start: int, end: int) -> str:
+            """Digest of a text's ids, so many at a time."""
+            digest = hashlib.sha256()
+            for at in range(start, end, SAID):
+                some = words.take(lists.values.slice(at, min(SAID, end - at)))
+                size = int(np.frombuffer(some.buffers()[1], np.int32)[len(some)])
+                digest.update(memoryview(some.buffers()[2])[: size - (at + SAID >= end)])
+            return digest.hexdigest()
+
         for b in batches:
-            offsets, codes, chunks = text_chunks(b.column("text"))
+            offsets, codes, chunks = text_chunks(b.column("text"), v.added)
             lists = _lists(joined(encoder(chunks), offsets, codes))
-            ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-            # ids and tokens are said with a space behind each, the last of which goes
-            digests = [[hashlib.sha256(m[:-1]).hexdigest() for m in joined(words, ends, ids)] for words in spoken]
+            ends = lists.offsets.to_numpy().astype(np.int64)
+            digests = [[said(words, lists, a, z) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)] for words in spoken]
             columns = [b.column("doc_id"), pa.array(np.diff(ends)), *[pa.array(d, pa.string()) for d in digests]]
             yield pa.RecordBatch.from_arrays(columns + [lists] * with_ids, schema=schema)
 
-    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return _rows(docs, doc_id, text).mapInArrow(in_task(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

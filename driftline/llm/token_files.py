@@ -2,8 +2,8 @@
 
 A part is three flat little-endian files: ``.bin`` (ids: unsigned 16-bit where the vocabulary fits, else 32-bit), ``.idx``
 (64-bit offsets, one more than documents) and ``.doc`` (64-bit document ids). A part holds a range of ids in ascending order;
-its base, the ids of all parts before it, is a prefix sum over the parts' totals, kept with the parts in a manifest, so parts
-are written independently. Files are written under a name of their task attempt and then renamed: a task that runs twice,
+its base, the ids of all parts before it, is a prefix sum over the parts' totals, kept beside the parts in a manifest (``manifest/``,
+Parquet), so parts are written independently and a later session reads them by the folder's name. Files are written under a name of their task attempt and then renamed: a task that runs twice,
 or whose executor is lost, leaves one whole part.
 
 The folder must be one that driver and executors share. A local (mounted) one is memory-mapped; another store is read by ranges.
@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import ChunkEncoder, Pieces, Vocabulary, packer, text_chunks
-from .common import cache, joined, new_path, small_batches, table
+from .common import in_task, joined, new_path, table
 
 NULL_ID = -(2**63)
 END_ID = 1
 _MANIFEST = "part string, first_id long, n_docs long, n_tokens long"
+_KEPT = f"{_MANIFEST}, base long, path string, width string"
 
 
 def store(path: str, mmap: bool = False) -> tuple[pafs.FileSystem, str]:
@@ -62,9 +63,6 @@ def library_encoder(vocabulary: str, width: str) -> ChunkEncoder:
     return ChunkEncoder(Pieces(v), encode, packer("I" if width == "<u4" else "H"))
 
 
-_encoders: dict[tuple[str, str], ChunkEncoder] = cache()
-
-
 def id_width(vocabulary: str) -> str:
     return "<u2" if Vocabulary(vocabulary).size <= 1 << 16 else "<u4"
 
@@ -72,7 +70,6 @@ def id_width(vocabulary: str) -> str:
 def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
     """Encode, append ``end_id`` to each document and write the parts. Returns the manifest: part, first_id, n_docs, n_tokens, base, path, width."""
     spark = docs.sparkSession
-    small_batches(spark)
     path = path or new_path(spark, "tokens")
     width = id_width(vocabulary)
     schema = pa.schema([("part", pa.string()), ("first_id", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
@@ -80,9 +77,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
     def run(batches):
         from pyspark import TaskContext
 
-        if (vocabulary, width) not in _encoders:
-            _encoders[vocabulary, width] = library_encoder(vocabulary, width)
-        encoder, size = _encoders[vocabulary, width], np.dtype(width).itemsize
+        encoder, size = library_encoder(vocabulary, width), np.dtype(width).itemsize
         end = np.array([end_id], width).tobytes()
         context = TaskContext.get()
         fs, root = store(path)
@@ -100,7 +95,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
             ids = [NULL_ID if i is None else i for i in b.column("doc_id").to_pylist()]
             first = ids[0] if first is None else first
             lengths = []
-            starts, codes, chunks = text_chunks(b.column("text"))
+            starts, codes, chunks = text_chunks(b.column("text"), encoder.pieces.added)
             for own in joined(encoder(chunks), starts, codes):
                 files["bin"].write(own.tobytes() + end)
                 lengths.append(len(own) // size + 1)
@@ -117,12 +112,18 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
 
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    parts = ranged.mapInArrow(run, _MANIFEST).collect()  # a row for each part
+    parts = ranged.mapInArrow(in_task(run), _MANIFEST).collect()  # a row for each part
     base, out = 0, []
     for r in sorted(parts, key=lambda r: (r.first_id, r.part)):
         out.append((r.part, r.first_id, r.n_docs, r.n_tokens, base, path, width))
         base += r.n_tokens
-    return spark.createDataFrame(out, f"{_MANIFEST}, base long, path string, width string")
+    spark.createDataFrame(out, _KEPT).coalesce(1).write.parquet(f"{path}/manifest")
+    return manifest(spark, path)
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest of token files: a row for each part, with its base. Any session that sees the folder can read it."""
+    return spark.read.schema(_KEPT).parquet(f"{path}/manifest")
 
 
 def open_part(path: str, part: str, width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,6 +152,6 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, with_ids: bool =
                     more = {"ids": [e.astype(np.int32) for e in each]} if with_ids else {}
                     yield table(schema, doc_id=[None if d == NULL_ID else int(d) for d in docs[s : s + 2000]], start=m["base"] + cut[:-1], n_tokens=np.diff(cut), ids_crc32=[zlib.crc32(e.astype("<u4").tobytes()) for e in each], **more)
 
-    # a task for each part
-    dealt = manifest.repartition(max(1, min(manifest.count(), 10_000)), "part")
-    return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    # ranges of names, about a part each
+    dealt = manifest.repartitionByRange(max(1, min(manifest.count(), 10_000)), "part")
+    return dealt.mapInArrow(in_task(run), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)

@@ -26,7 +26,7 @@ def _texts():
 
 
 def _encoded(encoder, many, width):
-    offsets, codes, chunks = text_chunks(pa.array(many))
+    offsets, codes, chunks = text_chunks(pa.array(many), encoder.pieces.added)
     return [np.frombuffer(m, width).tolist() for m in joined(encoder(chunks), offsets, codes)]
 
 
@@ -84,3 +84,31 @@ def test_parts_have_bases_by_prefix_sums(spark, sf, vocabulary):
 def test_empty(spark, none, vocabulary):
     assert token_files.read_token_files(spark, token_files.write_token_files(none, vocabulary)).count() == 0
     assert bpe.encode_digests(none, vocabulary).count() == 0
+
+
+def test_a_later_session_reads_by_the_folder(spark, odd, vocabulary, tmp_path):
+    path = f"file://{tmp_path}/tokens"
+    written = token_files.read_token_files(spark, token_files.write_token_files(odd, vocabulary, path)).collect()
+    other = spark.newSession()
+    assert sorted(token_files.read_token_files(other, token_files.manifest(other, path)).collect(), key=str) == sorted(written, key=str)
+
+
+def test_other_files_are_refused(vocabulary, tmp_path):
+    import json
+
+    with open(vocabulary, encoding="utf-8") as f:
+        spec = json.load(f)
+    for key, value in (("normalizer", None), ("decoder", {"type": "ByteLevel"}), ("model", spec["model"] | {"byte_fallback": True}), ("pre_tokenizer", {"type": "Whitespace"})):
+        at = tmp_path / f"{key}.json"
+        at.write_text(json.dumps(spec | {key: value}))
+        with pytest.raises(ValueError, match=key):
+            Vocabulary(str(at))
+
+
+def test_long_texts_are_said_in_parts(spark, library, vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "SAID", 7)
+    texts = ["the quick brown fox " * k for k in (0, 1, 2, 3, 7)]
+    got = bpe.encode_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary).collect()
+    for r in got:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
