@@ -7,8 +7,11 @@ are revisit records of the identical-payload-digest profile, which refer to it a
 
 The folder must be shared by driver and executors. Files are written under a name of their attempt and renamed.
 
-Defined results: a null payload is empty, a null url is the empty string. Repeated ids with equal payloads refer to
-themselves only if they are the largest id: each such row is a response. Each row of a repeated id is a capture of its own. Rows with a null id are left out. An empty table
+What a revisit refers to is found by a join of ``WARC-Refers-To`` with the ids of the responses, so archives of other writers resolve as well.
+
+Defined results: a null payload is empty, a null url is the empty string. Each row is a capture of its own, also where ids and payloads repeat: rows of
+the largest id with a payload are all responses, and revisits refer to the first of them. A null id is smaller than any other; a row without id revisits the response
+if there is an id with its payload, and is a response if not. A revisit whose response is in no archive has a null target. An empty table
 gives no archive. Very long payloads are streamed record by record.
 """
 
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, small_batches, table
+from .common import in_task, materialize, new_path, table
 from .token_files import store
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -36,7 +39,7 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(capture: int, digest: str, ordinal: int, kind: str) -> str:
+def record_id(capture: int | None, digest: str, ordinal: int, kind: str) -> str:
     """``ordinal`` tells rows of equal id and payload apart, from 1."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}/{capture}/{digest}/{ordinal}')}>"
 
@@ -72,22 +75,23 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, sha, refers_to) of the ids and payloads that an other page with a larger id keeps. Groups are reduced before the shuffle; a hot payload's pages are dealt by a salt."""
     found = pages.where(F.octet_length("html") >= min_bytes).select("page_id", "sha")
-    keepers = found.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("sha", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    keepers = found.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").select("sha", "refers_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = found.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    return salted.join(keepers, ["sha", "salt"]).where("page_id < refers_to").select("page_id", "sha", "refers_to").distinct()
+    return salted.join(keepers, ["sha", "salt"]).where("page_id is null or page_id < refers_to").select("page_id", "sha", "refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Write three records for each page. Returns the files: path, records."""
     spark = pages.sparkSession
-    small_batches(spark)
     path = path or new_path(spark, "warc")
     schema = pa.schema([("path", pa.string()), ("records", pa.int64())])
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html")).where("page_id is not null")
+    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
+    keyed = rows.withColumn("_id", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    kept = revisits(rows, min_bytes).select(F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("_id"), "sha", "refers_to")
     # rows of equal id and payload are numbered where the join has dealt them
-    own = Window.partitionBy("page_id", "sha").orderBy("url")
-    referring = rows.join(revisits(rows, min_bytes), ["page_id", "sha"], "left").withColumn("ordinal", F.row_number().over(own))
+    own = Window.partitionBy("_id", "sha").orderBy("url")
+    referring = keyed.join(kept, ["_id", "sha"], "left").withColumn("ordinal", F.row_number().over(own))
 
     def run(batches):
         from pyspark import TaskContext
@@ -107,11 +111,11 @@ def write_warc(pages: DataFrame, path: str | None = None, page_id: str = "page_i
             fs.move(own, f"{root}/{name}")
             yield table(schema, path=[f"{path}/{name}"], records=[n])
 
-    files = referring.select("page_id", "ordinal", "url", "html", "refers_to").mapInArrow(run, "path string, records long").collect()  # a row for each file
+    files = referring.select("page_id", "ordinal", "url", "html", "refers_to").mapInArrow(in_task(run), "path string, records long").collect()  # a row for each file
     return spark.createDataFrame(files, "path string, records long")
 
 
-def capture_records(capture: int, ordinal: int, url: str, payload: bytes, refers_to: int | None, date: str) -> bytes:
+def capture_records(capture: int | None, ordinal: int, url: str, payload: bytes, refers_to: int | None, date: str) -> bytes:
     target = url.replace("\r", "").replace("\n", "")
     common = [("WARC-Target-URI", target), ("WARC-Date", date)]
     digest = digest32(payload)
@@ -123,7 +127,7 @@ def capture_records(capture: int, ordinal: int, url: str, payload: bytes, refers
         answer = record("response", kept, http + payload)
     else:
         answer = record("revisit", [*kept, ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest, 1, "response"))], http)
-    fields = f"page-id: {capture}\r\n" + (f"refers-to-page-id: {refers_to}\r\n" if refers_to is not None else "")
+    fields = f"page-id: {capture}\r\n" if capture is not None else "page-id:\r\n"
     return record("request", [("WARC-Record-ID", ids["request"]), *common, ("Content-Type", "application/http; msgtype=request")], f"GET {target} HTTP/1.1\r\n\r\n".encode()) + answer + record("metadata", [("WARC-Record-ID", ids["metadata"]), linked, *common, ("Content-Type", "application/warc-fields")], fields.encode())
 
 
@@ -163,8 +167,9 @@ def read_warc(spark: SparkSession, files: DataFrame, with_blocks: bool = True) -
                 if some:
                     yield pa.RecordBatch.from_pylist(some, schema=schema)
 
-    dealt = files.select("path").repartition(max(1, min(files.count(), 10_000)), "path")
-    return dealt.mapInArrow(run, _RECORD)
+    # ranges of names, about a file each
+    dealt = files.select("path").repartitionByRange(max(1, min(files.count(), 10_000)), "path")
+    return dealt.mapInArrow(in_task(run), _RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -179,7 +184,18 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def capture_digests(captures: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of assembled captures; a response's digest is computed from its payload and held against its header."""
-    field = lambda name: F.regexp_extract(F.col("metadata.block").cast("string"), rf"(?m)^{name}: (-?\d+)", 1)
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of assembled captures; a response's digest is computed from its payload and held against its header. ``refers_to`` is the page of the
+    response that a revisit's ``WARC-Refers-To`` names; the responses that are named are dealt to all salts, as a hot one may have most revisits."""
+    page = F.regexp_extract(F.col("metadata.block").cast("string"), r"(?m)^page-id: (-?\d+)", 1)
     digest = F.when(F.col("response.warc_type") == "response", F.when(F.col("response.computed_digest") == F.col("response.payload_digest"), F.col("response.computed_digest"))).otherwise(F.col("response.payload_digest"))
-    return captures.select(field("page-id").cast("long").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"), digest.alias("payload_digest"), F.col("response.warc_type").alias("record_type"), F.expr("try_cast(nullif(" + r"regexp_extract(cast(metadata.block as string), '(?m)^refers-to-page-id: (-?[0-9]+)', 1)" + ", '') as long)").alias("refers_to"))
+    told = captures.select(
+        F.when(page != "", page.cast("long")).alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"), digest.alias("payload_digest"), F.col("response.warc_type").alias("record_type"),
+        F.col("response.record_id").alias("_own"), F.col("response.refers_to").alias("_target"),
+    )
+    told = materialize(told, "captures")
+    named = told.where("_target is not null").select("_target").distinct()
+    targets = told.where("record_type = 'response'").select(F.col("_own").alias("_target"), F.col("page_id").alias("refers_to")).join(named, "_target")
+    spread = targets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = told.withColumn("_salt", F.pmod(F.xxhash64("_own"), F.lit(SALTS)).cast("int"))
+    rest = salted.where("_target is null").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
+    return rest.unionByName(salted.where("_target is not null").join(spread, ["_target", "_salt"], "left").select(*rest.columns))
