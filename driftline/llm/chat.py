@@ -1,8 +1,8 @@
 """Chat formatting by schema fingerprints; DataFrame functions only.
 
-A record of any layout is a variant. Its nested field paths (names and nesting, without scalar types) are hashed, and the
+A record of any layout is a variant. Those of its nested field paths that some mapping names are hashed, and the
 hash selects a declarative mapping (``LAYOUTS``) that turns prompt, instruction and message layouts into canonical turns
-``array<struct<role, text>>``. Turns become one string per conversation by a template of three markers::
+``array<struct<role, text>>``. Roles of the canonical layout stay as they are; those of other layouts are renamed (``ROLES``). Turns become one string per conversation by a template of three markers::
 
     <|turn|>role<|text|>the text<|end|>\\n
 
@@ -10,30 +10,36 @@ Inside roles and texts, ``<`` followed by backslashes and ``|`` gets one backsla
 the change can be taken back. The loss mask lists the spans (code points) of the assistant's texts.
 
 Defined results: a null role or text is empty; turns are ordered by (turn, role, text), a null turn first; repeated rows
-stay. A record of no known layout has null turns and keeps its fingerprint. An empty table gives an empty result. Extra
+stay. Fields that no mapping names do not count, whatever their names; an empty message list has no turns. A record of no known layout, or with the fields of two, has null turns and keeps its fingerprint. An empty table gives an empty result. Extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 
-#: layout -> (the field paths it has, in order of names, as ``field_paths`` writes them; its turns in SQL over variant ``v``).
-#: ``{list:path:role:text}`` stands for a message list.
-LAYOUTS: dict[str, tuple[str, str]] = {
-    "messages_role_text": ("{messages:[{role,text}]}", "list:$.messages:role:text"),
-    "messages_role_content": ("{messages:[{content,role}]}", "list:$.messages:role:content"),
-    "conversations_from_value": ("{conversations:[{from,value}]}", "list:$.conversations:from:value"),
-    "prompt_completion": ("{completion,prompt}", "pair:$.prompt:$.completion"),
-    "prompt_response": ("{prompt,response}", "pair:$.prompt:$.response"),
-    "instruction_output": ("{instruction,output}", "pair:$.instruction:$.output"),
-    "instruction_input_output": ("{input,instruction,output}", "triple:$.instruction:$.input:$.output"),
-    "system_prompt_response": ("{prompt,response,system}", "system:$.system:$.prompt:$.response"),
-    "question_answer": ("{answer,question}", "pair:$.question:$.answer"),
+#: layout -> (its field paths in order, its turns: rule and paths). ``name[]`` is a list without known fields, ``name[].field`` a field of a list's objects.
+LAYOUTS: dict[str, tuple[tuple[str, ...], str]] = {
+    "messages_role_text": (("messages[].role", "messages[].text"), "rows:$.messages:role:text"),
+    "messages_role_content": (("messages[].content", "messages[].role"), "list:$.messages:role:content"),
+    "conversations_from_value": (("conversations[].from", "conversations[].value"), "list:$.conversations:from:value"),
+    "messages_empty": (("messages[]",), "rows:$.messages:role:text"),
+    "conversations_empty": (("conversations[]",), "rows:$.conversations:from:value"),
+    "prompt_completion": (("completion", "prompt"), "pair:$.prompt:$.completion"),
+    "prompt_response": (("prompt", "response"), "pair:$.prompt:$.response"),
+    "instruction_output": (("instruction", "output"), "pair:$.instruction:$.output"),
+    "instruction_input_output": (("input", "instruction", "output"), "triple:$.instruction:$.input:$.output"),
+    "system_prompt_response": (("prompt", "response", "system"), "system:$.system:$.prompt:$.response"),
+    "question_answer": (("answer", "question"), "pair:$.question:$.answer"),
 }
+_PATHS = sorted({p for paths, _ in LAYOUTS.values() for p in paths})
+#: Turns whose spans are gathered at a time.
+SPANS = 64
 #: Names that layouts give to the three roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -47,28 +53,36 @@ def unescape(c: Column) -> Column:
 
 
 def field_paths(v: Column) -> Column:
-    """Names and nesting of a variant's fields: ``{messages:[{role,text}]}``. Scalar types, and with them nulls, do not count."""
-    shape = F.schema_of_variant(v)
-    shape = F.regexp_replace(shape, r": (?!OBJECT|ARRAY)[A-Z]+(\([0-9, ]*\))?", "")
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(shape, "OBJECT<", "{"), "ARRAY<", "["), ": ", ":")
-    # closers in the order of the openers: ``>`` ends an object unless it follows an object that a list holds
-    shape = F.regexp_replace(F.regexp_replace(shape, r">>>", "}]}"), r"\[([^{\[\]>]*)>", "[$1]")
-    return F.regexp_replace(F.regexp_replace(shape, ">", "}"), ", ", ",")
+    """Those of ``_PATHS`` that a variant has, in order. A field that is null counts as there."""
+
+    def there(path: str) -> Column:
+        name, list_, field = path.partition("[]")
+        if not list_:
+            return F.try_variant_get(v, f"$.{name}", "variant").isNotNull()
+        items = F.try_variant_get(v, f"$.{name}", "array<variant>")
+        if field:
+            return F.exists(items, lambda x: F.try_variant_get(x, f"${field}", "variant").isNotNull())
+        known = [p for p in _PATHS if p.startswith(f"{name}[].")]
+        return items.isNotNull() & ~functools.reduce(lambda a, b: a | b, [F.coalesce(there(p), F.lit(False)) for p in known])
+
+    return F.array_compact(F.array(*[F.when(there(p), F.lit(p)) for p in _PATHS]))
 
 
 def fingerprint(v: Column) -> Column:
-    return F.xxhash64(field_paths(v))
+    return F.xxhash64(F.concat_ws(",", field_paths(v)))
 
 
 def _turns(rule: str) -> str:
     """SQL over the variant ``v``: array<struct<role, text>>."""
     kind, *args = rule.split(":")
-    text = lambda p: f"variant_get(v, '{p}', 'string')"
+    text = lambda p: f"try_variant_get(v, '{p}', 'string')"
     turn = lambda role, p: f"struct('{role}' AS role, coalesce({text(p)}, '') AS text)"
-    if kind == "list":
+    if kind in ("list", "rows"):
         path, role, body = args
-        named = "CASE lower(m.r) " + " ".join(f"WHEN '{k}' THEN '{x}'" for k, x in ROLES.items()) + " ELSE coalesce(m.r, '') END"
-        items = f"transform(variant_get(v, '{path}', 'array<variant>'), x -> struct(variant_get(x, '$.{role}', 'string') AS r, variant_get(x, '$.{body}', 'string') AS t))"
+        named = "coalesce(m.r, '')"
+        if kind == "list":
+            named = "CASE lower(m.r) " + " ".join(f"WHEN '{k}' THEN '{x}'" for k, x in ROLES.items()) + f" ELSE {named} END"
+        items = f"transform(try_variant_get(v, '{path}', 'array<variant>'), x -> struct(try_variant_get(x, '$.{role}', 'string') AS r, try_variant_get(x, '$.{body}', 'string') AS t))"
         return f"transform({items}, m -> struct({named} AS role, coalesce(m.t, '') AS text))"
     if kind == "pair":
         return f"array({turn('user', args[0])}, {turn('assistant', args[1])})"
@@ -86,7 +100,7 @@ def canonical_turns(records: DataFrame, record: str) -> DataFrame:
     chosen = None
     for paths, rule in LAYOUTS.values():
         turns = F.expr(_turns(rule).replace("(v,", f"(`{record}`,"))
-        hit = F.col("layout_fingerprint") == F.xxhash64(F.lit(paths))
+        hit = F.col("layout_fingerprint") == F.xxhash64(F.lit(",".join(paths)))
         chosen = F.when(hit, turns) if chosen is None else chosen.when(hit, turns)
     return known.withColumn("turns", chosen)
 
@@ -112,7 +126,15 @@ def format_chats(records: DataFrame, record: str = "record") -> DataFrame:
         spans = F.when(p["role"] == "assistant", F.concat(acc["spans"], F.array(F.struct(begin.cast("long").alias("start"), size.alias("length"))))).otherwise(acc["spans"])
         return F.struct((begin + size + len(END)).cast("long").alias("at"), spans.alias("spans"))
 
-    spans = F.aggregate("_pieces", start, step)["spans"]
+    # spans of ``SPANS`` turns at a time, so that a long conversation's are not copied at each turn
+    blocks = F.transform(F.sequence(F.lit(0), F.expr(f"(size(_pieces) - 1) div {SPANS}")), lambda b: F.slice("_pieces", b.cast("int") * SPANS + 1, SPANS))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<array<struct<start:bigint,length:bigint>>>").alias("parts"))
+
+    def block(acc, pieces):
+        own = F.aggregate(pieces, F.struct(acc["at"].alias("at"), start["spans"].alias("spans")), step)
+        return F.struct(own["at"].alias("at"), F.concat(acc["parts"], F.array(own["spans"])).alias("parts"))
+
+    spans = F.when(F.col("_pieces").isNotNull(), F.flatten(F.aggregate(blocks, begin, block)["parts"]))
     return whole.withColumn("formatted", formatted).withColumn("loss_spans", spans).drop("_pieces")
 
 

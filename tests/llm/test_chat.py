@@ -47,13 +47,20 @@ def test_layouts_by_fingerprint(spark):
         ('{"messages": [{"role": "system", "content": "s"}, {"role": "user", "content": null}]}', [("system", "s"), ("user", "")]),
         ('{"messages": [{"text": "t", "role": "user"}]}', [("user", "t")]),
         ('{"system": "s", "prompt": "p", "response": "r"}', [("system", "s"), ("user", "p"), ("assistant", "r")]),
+        ('{"messages": [{"role": "Human", "text": "t"}, {"role": "model", "text": "u"}]}', [("Human", "t"), ("model", "u")]),
+        ('{"messages": [{"role": "Human", "content": "t"}, {"role": "model", "content": "u"}]}', [("user", "t"), ("assistant", "u")]),
+        ('{"messages": []}', []),
+        ('{"messages": [{"text": "t", "role": "user", "name: >, <": {"a": [1]}}], "id": 3}', [("user", "t")]),
+        ('{"messages": [{"text": "t"}, {"role": "user"}]}', [("", "t"), ("user", "")]),
+        ('{"messages": "no list"}', None),
+        ('{"prompt": "p", "response": "r", "messages": [{"role": "a", "text": "b"}]}', None),
         ('{"what": {"ever": [1, 2]}}', None),
         (None, None),
     ]
     df = spark.createDataFrame([(i, j) for i, (j, _) in enumerate(records)], "i int, j string").withColumn("v", F.parse_json("j"))
     got = {r.i: r.turns for r in chat.canonical_turns(df, "v").collect()}
     for i, (_, want) in enumerate(records):
-        assert (got[i] and [tuple(t) for t in got[i]]) == want
+        assert (got[i] if got[i] is None else [tuple(t) for t in got[i]]) == want
 
 
 def test_loss_spans_point_at_the_texts(spark):
@@ -63,6 +70,20 @@ def test_loss_spans_point_at_the_texts(spark):
             assert r.formatted[: s.start].endswith("<|turn|>assistant<|text|>") and r.formatted[s.start + s.length :].startswith("<|end|>\n")
 
 
+def test_other_roles_keep_their_names_and_stay_out_of_the_mask(spark):
+    rows = [(1, 0, "human", "q"), (1, 1, "model", "a"), (1, 2, "assistant", "b"), (2, 0, "gpt", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.chat_digests(chat.parse_chats(chat.format_chats(chat.gather_turns(df)))).collect()
+    assert sorted((str(r.conv_id), r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got) == _brute(rows)
+
+
+def test_long_conversations(spark):
+    rows = [(1, t, "assistant" if t % 3 else "user", f"text {t} <|end|>") for t in range(1000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.chat_digests(chat.parse_chats(chat.format_chats(chat.gather_turns(df)))).collect()
+    assert sorted((str(r.conv_id), r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got) == _brute(rows)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.chat_digests(chat.parse_chats(chat.format_chats(chat.gather_turns(none)))).count() == 0
