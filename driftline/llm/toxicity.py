@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flushing_counts, materialize, small_batches, table, texts
+from .common import flushing_counts, in_task, materialize, table, texts
 
 # Letters that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ο": "o", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ⅼ": "l", "ɑ": "a", "ԁ": "d", "ɡ": "g", "һ": "h", "ո": "n", "ѵ": "v", "ԝ": "w"}
@@ -120,8 +120,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     return materialize(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")), "labelled")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds: float = 3.0, chance: float = 0.01, most: int = 5000) -> Lexicon:
-    small_batches(docs.sparkSession)
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds: float = 3.0, chance: float = 0.01) -> Lexicon:
     rows = labelled_sample(docs, labels, sample)
     kinds = {bool(r[0]): r[1] for r in rows.groupBy(F.col("toxic") > 0).count().collect()}
     pos, neg = kinds.get(True, 0), kinds.get(False, 0)
@@ -135,7 +134,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds:
                 for s in {s for w in {w for r in readings(t) for w in r.split()} for s in stems(w) if wanted is None or s in wanted}:
                     counts[s, y > 0] = counts.get((s, y > 0), 0) + 1
 
-        return lambda it: flushing_counts(it, add, schema, 400_000)
+        return in_task(lambda it: flushing_counts(it, add, schema, 200_000))
 
     share = pos / (pos + neg)
     own = materialize(rows.where("toxic > 0").mapInArrow(counted(None), "stem string, toxic boolean, n long").groupBy("stem").agg(F.sum("n").alias("n")), "stems")
@@ -149,7 +148,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 30_000, least_odds:
     odds = {s: math.log((n + 0.5) / (pos + 1)) - math.log((clean.get(s, 0) + 0.5) / (neg + 1)) for s, n in toxic.items()}
     tails = {s: _log_tail(toxic[s], clean.get(s, 0), share) for s, o in odds.items() if o >= least_odds}
     limit = max((t for k, t in enumerate(sorted(tails.values()), 1) if t <= math.log(chance * k / tested)), default=-math.inf)
-    lexicon = Lexicon(_prefix_free({s: odds[s] for s, t in tails.items() if t <= limit}, toxic, most))
+    lexicon = Lexicon(_prefix_free({s: odds[s] for s, t in tails.items() if t <= limit}, toxic))
     lexicon.exceptions = _exceptions(rows, lexicon)
     x, y = _sampled_features(rows, lexicon)
     lexicon.line = _logistic(x, y)
@@ -163,18 +162,20 @@ def _log_tail(n: int, other: int, share: float) -> float:
     return max(logs) + math.log(math.fsum(math.exp(x - max(logs)) for x in logs)) if other else logs[0]
 
 
-def _prefix_free(odds: dict[str, float], support: dict[str, int], most: int) -> dict[str, float]:
-    """Of each family of stems the longest with (nearly) the support of the shortest that passes."""
+def _prefix_free(odds: dict[str, float], support: dict[str, int]) -> dict[str, float]:
+    """Of each family of stems the longest with (nearly) the support of the shortest that passes. In alphabetical order a family follows its shortest stem."""
     out: dict[str, float] = {}
-    for s in sorted(odds, key=lambda s: (len(s), s)):
-        if any(s[:k] in out for k in range(MIN_STEM, len(s))) or any(o.startswith(s) for o in out):
-            continue
-        best = s
-        for t in sorted((t for t in odds if t.startswith(s)), key=len):
-            if support[t] >= 0.95 * support[s]:
-                best = t
+    families: list[list[str]] = []
+    for s in sorted(odds):
+        if families and s.startswith(families[-1][0]):
+            families[-1].append(s)
+        else:
+            families.append([s])
+    for first, *others in families:
+        near = [t for t in others if support[t] >= 0.95 * support[first]]
+        best = max([first, *near], key=lambda t: (len(t), t))
         out[best] = odds[best]
-    return dict(sorted(out.items(), key=lambda kv: (-kv[1] * support[kv[0]], kv[0]))[:most])
+    return out
 
 
 def _exceptions(rows: DataFrame, lexicon: Lexicon) -> set[str]:
@@ -191,7 +192,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> set[str]:
             for p in found:
                 counts[p, y > 0] = counts.get((p, y > 0), 0) + 1
 
-    got = rows.mapInArrow(lambda it: flushing_counts(it, add, schema, 400_000), "phrase string, toxic boolean, n long").groupBy("phrase").agg(F.sum(F.when(~F.col("toxic"), F.col("n")).otherwise(0)).alias("clean"), F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("bad"))
+    got = rows.mapInArrow(in_task(lambda it: flushing_counts(it, add, schema, 200_000)), "phrase string, toxic boolean, n long").groupBy("phrase").agg(F.sum(F.when(~F.col("toxic"), F.col("n")).otherwise(0)).alias("clean"), F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("bad"))
     return {r.phrase for r in got.where("clean >= 3 and clean >= bad").collect()}
 
 
@@ -204,7 +205,7 @@ def _sampled_features(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np
             x = features(automaton, texts(b))
             yield table(schema, a=x[:, 0], b=x[:, 1], y=b.column("toxic").to_pylist())
 
-    got = rows.mapInArrow(run, "a double, b double, y int").toPandas()
+    got = rows.mapInArrow(in_task(run), "a double, b double, y int").toPandas()
     return got[["a", "b"]].to_numpy(), (got["y"].to_numpy() > 0).astype(float)
 
 
@@ -224,7 +225,6 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 def score(docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score)."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
@@ -239,4 +239,4 @@ def score(docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str =
                 s = 1 / (1 + np.exp(-np.clip(lexicon.line[0] + x @ np.array(lexicon.line[1:]), -30, 30)))
             yield table(schema, doc_id=b.column("doc_id").to_pylist(), score=s)
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(in_task(run), "doc_id long, score double")
