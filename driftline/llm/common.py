@@ -204,22 +204,3 @@ def _emit(counts: dict, schema: pa.Schema):
         else:
             columns = [keys, list(counts.values())]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of results that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound an Arrow batch by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
-def cache() -> dict:
-    return {}
-
-
-def drop_caches() -> None:
-    """Nothing is kept between tasks by ``in_task``."""
