@@ -287,3 +287,35 @@ def test_frequent_items_keep_seeds_in_every_stretch(spark):
     for documents, want in ((10, 6 // 3 + 1), (10**8, 7)):
         chosen = decontaminate.rare_seeds(seeds, hits, documents, 1e-4).collect()
         assert want <= len(chosen) <= 7 and any(r.item == 1 for r in chosen)
+
+
+def test_automaton_equals_a_plain_search():
+    """Matches, exceptions and sums against a search of every stem at every word of every reading."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abio0153!$ "), rng.integers(1, 6)))
+    lexicon = toxicity.Lexicon({"abo": 2.0, "bo ": 1.5, "aa ": 3.0, "iob": 0.5, "oo": 1.0}, {" bo ab ", " aa bo "})
+    many = ["", "bo", "bo ab", "aa bo", "AA b0!", *(" ".join(word() for _ in range(rng.integers(0, 25))) for _ in range(500))]
+    got = toxicity.features(lexicon.automaton(), many)
+    for t, x in zip(many, got, strict=True):
+        found, spared = {}, []
+        for r in toxicity.readings(t):
+            for p in lexicon.exceptions:
+                spared += [(i, i + len(p) - 1) for i in range(len(r)) if r.startswith(p, i)]
+        for r in toxicity.readings(t):
+            for stem, w in lexicon.weights.items():
+                s = " " + stem
+                for i in range(len(r)):
+                    if r.startswith(s, i) and not any(a <= i and i + len(s) - 1 <= z for a, z in spared):
+                        found[i] = max(w, found.get(i, w))
+        total = sum(found.values())
+        words = len(toxicity.readings(t)[-1].split())
+        assert np.allclose(x, [math.log1p(total), math.log1p(100 * total / max(1, words))])
+
+
+def test_toxicity_conflicts_and_families(spark):
+    docs, labels = _labelled(spark)
+    again = labels.unionByName(labels.where("toxic = 1").withColumn("toxic", F.lit(0))).unionByName(spark.createDataFrame([(1, 1, None), (None, 1, 1)], labels.schema))
+    one, both = toxicity.learn(docs, labels), toxicity.learn(docs, again)  # conflicting labels count as toxic, nulls not at all
+    assert one.weights == both.weights and one.line == both.line
+    odds = {s: 4.0 for s in ("idio", "idiot", "idiots", "lose", "loser ")}
+    assert set(toxicity._prefix_free(odds, {"idio": 100, "idiot": 99, "idiots": 20, "lose": 50, "loser ": 30})) == {"idiot", "lose"}
