@@ -58,6 +58,7 @@ def materialize(df: DataFrame, label: str, held: list[str] | None = None) -> Dat
     path = new_path(spark, label)
     with _cleaning(spark):
         df.write.option("compression", "zstd").parquet(path)
+    give_back()
     if held is not None:
         held.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -95,16 +96,26 @@ def in_task(run):
         try:
             yield from run(s for b in batches for s in cut(b))
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):  # a C library without it
-                pass
+            give_back()
 
     return task
 
 
+def give_back() -> None:
+    """Memory that isn't in use goes from this process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def collected(df: DataFrame):
+    """A bounded result as a pandas frame, by way of Arrow: no object for each value crosses from the JVM."""
+    return df.toArrow().to_pandas()
+
+
 def in_fold(column: str, modulus: int, held_out: int):
     """crc32 of the id as text, by remainder: True for held-out rows. A null id is in no fold (False)."""
     return F.coalesce((F.crc32(F.col(column).cast("string").cast("binary")) % modulus) == held_out, F.lit(False))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_task, materialize, mix64, remove, table, texts, word_codes
+from .common import collected, in_task, materialize, mix64, remove, table, texts, word_codes
 
 #: (share of the lexicon that a subset keeps, number of such subsets)
 SUBSETS = ((1 / 2, 8), (1 / 8, 16), (1 / 32, 32), (1 / 128, 48), (1 / 512, 48))
@@ -78,7 +78,7 @@ def lexicon(docs: DataFrame, text: str = "text", min_share: float = 1 / 1000, ma
     held: list[str] = []
     n = docs.count()
     df = materialize(term_frequencies(docs, text), "terms", held)
-    band = df.where((F.col("df") >= min_share * n) & (F.col("df") <= max(max_share * n, 1))).select("term").toPandas()
+    band = collected(df.where((F.col("df") >= min_share * n) & (F.col("df") <= max(max_share * n, 1))).select("term"))
     remove(docs.sparkSession, held)
     return np.sort(band["term"].to_numpy(np.int64).view(np.uint64))
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunked, in_task, materialize, mix64, remove, table
+from .common import chunked, collected, in_task, materialize, mix64, remove, table
 from .components import connected_components
 
 #: Documents of a tile's block, n-grams of all its documents together (or one document), columns of a block of the product.
@@ -106,7 +106,7 @@ def frequent_ngrams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
             yield flush()
 
     counted = docs.select("text").mapInArrow(in_task(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(LOCAL, SHARE * rows))
-    got = counted.toPandas().sort_values("gram")
+    got = collected(counted).sort_values("gram")
     return got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
 

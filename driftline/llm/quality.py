@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_chunks, in_task, materialize, mix64, remove, summed, table
+from .common import coded_chunks, collected, in_task, materialize, mix64, remove, summed, table
 
 SOURCES, LANGS, LENGTHS = 64, 16, 12
 #: Buckets of hashed n-grams, of each of three kinds; characters of an n-gram.
@@ -315,19 +315,19 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = 20_000, rounds: in
     if weights is None:
         remove(docs.sparkSession, held)
         return Model()
-    schema = pa.schema([("quality", pa.int32()), ("fold", pa.int32()), ("a", pa.list_(pa.float64())), ("b", pa.list_(pa.float64()))])
+    schema = pa.schema([("quality", pa.int32()), ("fold", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 
     def read(batches):
         for b in batches:
             for f in range(4):
                 own = b.filter(pc.equal(b.column("fold"), f))
                 x, z, _ = Model(weights[f]).read(own)
-                yield table(schema, quality=own.column("quality").to_pylist(), fold=own.column("fold").to_pylist(), a=list(x), b=list(z))
+                yield table(schema, quality=own.column("quality"), fold=own.column("fold"), a=[r.tobytes() for r in x], b=[r.tobytes() for r in z])
 
-    got = rows.mapInArrow(in_task(read), "quality int, fold int, a array<double>, b array<double>").toPandas()
+    got = collected(rows.mapInArrow(in_task(read), "quality int, fold int, a binary, b binary"))
     remove(docs.sparkSession, held)
     y, apart = got["quality"].to_numpy(float), got["fold"].to_numpy() == 3
-    x = tuple(np.stack(got[k].to_numpy()) for k in "ab")
+    x = tuple(np.frombuffer(b"".join(got[k]), float).reshape(len(y), -1) for k in "ab")
     if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
         apart = np.ones(len(y), bool)
     fit = ~apart if not apart.all() else apart
@@ -369,7 +369,7 @@ def _pseudo(docs: DataFrame, model: Model, sure: float) -> list[tuple[int, np.nd
     sent = _rows(docs).drop("doc_id").mapInArrow(in_task(run), "view int, rows long, gradient array<double>, curvature array<double>")
     # summed by the cluster, element by element; the number of rows goes first
     flat = sent.select("view", F.posexplode(F.concat(F.array(F.col("rows").cast("double")), "gradient", "curvature")))
-    sums = flat.groupBy("view", "pos").agg(F.sum("col").alias("s")).toPandas().sort_values("pos")
+    sums = collected(flat.groupBy("view", "pos").agg(F.sum("col").alias("s"))).sort_values("pos")
     out = []
     for k, view in enumerate(model.views):
         own, d = sums["s"][sums["view"] == k].to_numpy(), len(view.w)

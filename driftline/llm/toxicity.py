@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flushing_counts, in_task, materialize, table, texts
+from .common import collected, flushing_counts, in_task, materialize, table, texts
 
 # Letters that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ο": "o", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ⅼ": "l", "ɑ": "a", "ԁ": "d", "ɡ": "g", "һ": "h", "ո": "n", "ѵ": "v", "ԝ": "w"}
@@ -205,7 +205,7 @@ def _sampled_features(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np
             x = features(automaton, texts(b))
             yield table(schema, a=x[:, 0], b=x[:, 1], y=b.column("toxic").to_pylist())
 
-    got = rows.mapInArrow(in_task(run), "a double, b double, y int").toPandas()
+    got = collected(rows.mapInArrow(in_task(run), "a double, b double, y int"))
     return got[["a", "b"]].to_numpy(), (got["y"].to_numpy() > 0).astype(float)
 
 
