@@ -27,12 +27,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # a star's middle has many neighbours: they are dealt by a salt, and its smallest one goes to all salts
-        spread = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         # repeated edges go at the end of the round; there are two for each of its start at most
-        large = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = _with_least(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        small = _with_least(large, low)
         done = list(held)
         held.clear()
         e = materialize(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges", held)
@@ -43,6 +41,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
     return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _with_least(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """(u, v, m): edges (u, v) with what ``low`` (u, m) has for u. The middle of a star has many edges: they are dealt by a salt, and its row goes to all salts."""
+    spread = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "salt"]).drop("salt")
+
+
 def _settled(e: DataFrame) -> bool:
     """Whether the edges are stars: every larger end has one edge, and no smaller end is a larger one."""
     ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
