@@ -60,7 +60,8 @@ def library_encoder(vocabulary: str, width: str) -> ChunkEncoder:
                 out += [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
         return out
 
-    return ChunkEncoder(Pieces(v), encode, packer("I" if width == "<u4" else "H"))
+    # room for the distinct chunks of several batches: the library's calls cost more than the memory
+    return ChunkEncoder(Pieces(v), encode, packer("I" if width == "<u4" else "H"), room=6 << 20)
 
 
 def id_width(vocabulary: str) -> str:
