@@ -31,6 +31,8 @@ from .components import connected_components
 BLOCK, CELLS, COLUMNS = 512, 500_000, 4096
 #: Least bits of a parity map; documents of an n-gram that are compared with each other.
 PARITY, LIST = 512, 4096
+#: Documents of an n-gram whose pairs are listed, each pair once however many n-grams it shares; longer lists travel with a parity map for each document.
+SHORT = 32
 #: A group of equal sets, and a hot n-gram's documents, are dealt over at most so many parts.
 SALTS = 64
 #: Documents of a band that go to all its blocks.
@@ -214,7 +216,8 @@ def _long_forest(rows: list[tuple[int, int, bytes]], percent: int) -> list[tuple
 
 
 def prefix_ties(reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b): ties of documents that share a prefix n-gram and may link, a forest for each list of documents. A list is that of an n-gram, or a part of a hot one's. In lists of over ``LIST`` documents
+    """(a, b): ties of documents that share a prefix n-gram and may link. A list is that of an n-gram, or a part of a hot one's. Of lists of up to ``SHORT`` documents all pairs, distinct over all n-grams before
+    parity maps are joined to them; of longer ones a forest for each. In lists of over ``LIST`` documents
     and in parts, each is tied to the first of its run of neighbouring sizes, and so are the runs of a hot n-gram's parts."""
     schema = pa.schema([("gram", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
     shape = "gram long, a long, b long, low long, high long"
@@ -273,20 +276,47 @@ def prefix_ties(reps: DataFrame, percent: int) -> DataFrame:
                 yield emit(found)
 
     part = F.pmod(F.xxhash64("rep", "gram"), F.col("parts")).cast("int")
-    plain = reps.select(F.explode("prefix").alias("gram"), F.lit(1).alias("parts"), "rep")
-    hot = reps.select(F.explode("hot").alias("h"), "rep").select("h.gram", "h.parts", "rep")
+    size = F.col("n_shingles").cast("int").alias("n")
+    plain = reps.select(F.explode("prefix").alias("gram"), F.lit(1).alias("parts"), "rep", size)
+    hot = reps.select(F.explode("hot").alias("h"), "rep", size).select("h.gram", "h.parts", "rep", "n")
     entries = plain.unionByName(hot).withColumn("part", part)
-    shared = entries.withColumn("k", F.count("*").over(Window.partitionBy("gram", "part"))).where("k > 1 or parts > 1").select("gram", "part", "parts", "rep")
-    described = shared.join(reps.select("rep", F.col("n_shingles").alias("n"), "bits").hint("merge"), "rep")
-    dealt = described.repartition("gram", "part").sortWithinPartitions("gram", "part", "parts", "n", "rep")
     held: list[str] = []
+    # written, so the entries' shuffle files are gone when maps travel
+    shared = materialize(entries.withColumn("k", F.count("*").over(Window.partitionBy("gram", "part"))).where("k > 1 or parts > 1"), "shared", held)
+    short = (F.col("k") <= SHORT) & (F.col("parts") == 1)
+    maps = reps.select("rep", F.col("n_shingles").alias("n"), "bits").hint("merge")
+    few = _linkable(_list_pairs(shared.where(short), percent), maps, percent)
+    described = shared.where(~short).select("gram", "part", "parts", "rep").join(maps, "rep")
+    dealt = described.repartition("gram", "part").sortWithinPartitions("gram", "part", "parts", "n", "rep")
     found = materialize(dealt.mapInArrow(in_task(run), shape), "lists", held)
     runs = found.where("gram is not null").repartition("gram").sortWithinPartitions("gram", "low", "a").mapInArrow(in_task(merge), shape)
-    ties = materialize(found.where("gram is null").unionByName(runs).select("a", "b").distinct(), "ties")
+    ties = materialize(found.where("gram is null").unionByName(runs).select("a", "b").unionByName(few).distinct(), "ties")
     remove(reps.sparkSession, held)
     return ties
 
 
+def _list_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """(a, b): distinct pairs of documents of a list (gram, rep, n) whose sizes can reach the threshold."""
+    lists = shared.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("n", "rep"))).alias("list"))
+    first = lists.select("list", F.posexplode("list").alias("at", "x"))
+    after = F.filter(F.expr("slice(list, at + 2, size(list))"), lambda y: (F.lit(100) * F.col("x.n").cast("long") >= F.lit(percent) * y["n"].cast("long")) & (y["rep"] != F.col("x.rep")))
+    pairs = first.select("x", F.explode(after).alias("y"))
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+def _linkable(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parity maps (rep, n, bits) don't rule out."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            may = [may_link(*row, percent) for row in zip(*(b.column(c).to_pylist() for c in ("na", "bits_a", "nb", "bits_b")), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], schema=schema).filter(pa.array(may, pa.bool_()))
+
+    own = lambda c: maps.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge")
+    return pairs.join(own("a"), "a").join(own("b"), "b").mapInArrow(in_task(run), "a long, b long")
+
+
 def _banded(members: DataFrame, percent: int) -> DataFrame:
     """A pair's sizes lie in one band or in two neighbouring ones."""
     return members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int"))

@@ -157,3 +157,10 @@ def test_components(spark):
             parent[q] = p
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {x: find(x) for x in parent} and len(got) == len(parent)
+
+
+def test_pairs_of_short_lists_come_once(spark):
+    """However many n-grams two documents share, one row has them, and only where sizes may reach the threshold."""
+    rows = [(g, r, n) for g in range(200) for r, n in ((1, 100), (2, 90), (3, 100))] + [(500, 4, 10), (500, 5, 100), (501, 6, 50), (501, 6, 50)]
+    got = jaccard._list_pairs(spark.createDataFrame(rows, "gram long, rep long, n int"), 85)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2), (1, 3), (2, 3)]
