@@ -14,6 +14,7 @@ of (id, text). A null id sorts first and is stored as the smallest 64-bit intege
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 
@@ -39,6 +40,17 @@ def store(path: str, mmap: bool = False) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def task_encoder(vocabulary: str, width: str) -> ChunkEncoder:
+    """The encoder of this process, for all tasks that it serves: a file is read, and a chunk encoded, once. A file that has changed is read anew."""
+    at = os.stat(vocabulary)
+    return _kept_encoder(vocabulary, width, at.st_mtime_ns, at.st_size)
+
+
+@functools.lru_cache(maxsize=1)
+def _kept_encoder(vocabulary: str, width: str, *_: int) -> ChunkEncoder:
+    return library_encoder(vocabulary, width)
+
+
 def library_encoder(vocabulary: str, width: str) -> ChunkEncoder:
     """Ids by the ``tokenizers`` library, as bytes. Pieces are sent joined by spaces: each ends in a token that carries the end-of-word mark, where the ids are cut."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -78,7 +90,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str | None = None,
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, size = library_encoder(vocabulary, width), np.dtype(width).itemsize
+        encoder, size = task_encoder(vocabulary, width), np.dtype(width).itemsize
         end = np.array([end_id], width).tobytes()
         context = TaskContext.get()
         fs, root = store(path)

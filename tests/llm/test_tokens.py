@@ -112,3 +112,17 @@ def test_long_texts_are_said_in_parts(spark, library, vocabulary, monkeypatch):
     for r in got:
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+
+
+def test_a_process_reads_a_vocabulary_once(vocabulary, tmp_path):
+    import os
+    import shutil
+
+    at = str(tmp_path / "vocabulary.json")
+    shutil.copy(vocabulary, at)
+    one = token_files.task_encoder(at, "<u2")
+    said = [bytes(x) for x in one(["some", "words"])]
+    assert token_files.task_encoder(at, "<u2") is one and token_files.task_encoder(at, "<u4") is not one
+    one = token_files.task_encoder(at, "<u2")
+    os.utime(at, ns=(1, 1))
+    assert token_files.task_encoder(at, "<u2") is not one and [bytes(x) for x in token_files.task_encoder(at, "<u2")(["some", "words"])] == said
