@@ -3,7 +3,7 @@
 Texts are cut at ASCII white space into chunks; each chunk is normalised and cut into pieces as the vocabulary file says
 (NFC, white space, lower case, then a split pattern), and the pieces of a batch that no earlier batch had are encoded
 together: an index maps each adjacent pair with a rank to all its positions in the batch, the active ranks are applied in
-ascending order, and after each merge the lists of the neighbouring pairs are updated. Chunks are remembered, so a text's
+ascending order, each to all its positions at once, and after each the lists of the neighbouring pairs are updated. Chunks are remembered, so a text's
 ids are joined from those of its chunks. A file with another normaliser, cut, model or decoder than these is refused, so ids are never silently others.
 
 Defined results: a null or empty text has no ids and decodes to the empty string. Repeated rows and ids are kept, each row
@@ -32,6 +32,8 @@ from .common import chunked, in_task, joined, table
 ROOM = 1 << 20
 #: Ids that are spelled out at a time.
 SAID = 1 << 16
+#: Positions whose first pairs are looked up at a time.
+NOTED = 1 << 20
 #: The normaliser whose rules ``Pieces`` follows, as vocabulary files say it.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _SPACE = regex.compile(r"\s+")
@@ -68,12 +70,20 @@ class Vocabulary:
         self.tokens = {i: t for t, i in (self.ids | self.added).items()}
         self.size = max(self.tokens) + 1
         self.pattern = split["pattern"]["Regex"]
-        self.ranks: dict[int, tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], (rank, self.ids[a + b]))
+        #: (left, right, new) of each rank.
+        self.merges = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in model["merges"]]
+        # a pair that stands twice has its first rank; the key behind the last is none of a pair
+        keys, first = np.unique(np.array([a << 32 | b for a, b, _ in self.merges], np.int64), return_index=True)
+        self._keys, self._ranks = np.append(keys, np.iinfo(np.int64).max), np.append(first, -1).astype(np.int32)
         letters = byte_alphabet()
-        self.inner = [self.ids[letters[b]] for b in range(256)]
-        self.last = [self.ids[letters[b] + self.end] for b in range(256)]
+        self.inner = np.array([self.ids[letters[b]] for b in range(256)], np.int32)
+        self.last = np.array([self.ids[letters[b] + self.end] for b in range(256)], np.int32)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols, -1 where it has none."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self._keys, keys)
+        return np.where(self._keys[at] == keys, self._ranks[at], np.int32(-1))
 
 
 class Pieces:
@@ -112,75 +122,57 @@ class Pieces:
 
 
 def encode_pieces(vocabulary: Vocabulary, pieces: list[str]) -> list[list[int]]:
-    """Ids of each piece, by one pair occurrence index over all of them."""
-    ranks, inner, last = vocabulary.ranks, vocabulary.inner, vocabulary.last
-    symbol: list[int] = []
-    starts: list[int] = []
-    for p in pieces:
-        raw = p.encode()
-        starts.append(len(symbol))
-        symbol += [inner[b] for b in raw[:-1]]
-        symbol.append(last[raw[-1]])
-    n = len(symbol)
-    following = list(range(1, n + 1))
-    previous = list(range(-1, n - 1))
-    for s in starts:
-        previous[s] = -1
-        if s:
-            following[s - 1] = -1
-    if n:
-        following[n - 1] = -1
-    # pair occurrence index: rank -> positions of the left symbol
-    index: dict[int, list[int]] = {}
-    made: dict[int, tuple[int, int, int]] = {}
-    get = ranks.get
-    for i in range(n):
-        j = following[i]
-        if j >= 0:
-            key = symbol[i] << 32 | symbol[j]
-            if hit := get(key):
-                if (at := index.get(hit[0])) is None:
-                    index[hit[0]] = [i]
-                    made[hit[0]] = (symbol[i], symbol[j], hit[1])
-                else:
-                    at.append(i)
-    active = list(index)
-    heapq.heapify(active)
+    """Ids of each piece, by one pair occurrence index over all of them. All positions of a rank are merged at once."""
+    raw = [p.encode() for p in pieces]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    ends = np.cumsum(sizes)
+    codes = np.frombuffer(b"".join(raw), np.uint8)
+    n = len(codes)
+    symbol = vocabulary.inner[codes]
+    symbol[ends - 1] = vocabulary.last[codes[ends - 1]]
+    following, previous = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+    following[ends - 1] = previous[ends - sizes] = -1
+    # pair occurrence index: rank -> positions of the left symbol; a position may stand there twice, or no longer have the pair
+    index: dict[int, list[np.ndarray]] = {}
+    active: list[int] = []
+
+    def note(at: np.ndarray) -> None:
+        ranks = vocabulary.ranks(symbol[at], symbol[following[at]])
+        hit = np.flatnonzero(ranks >= 0)
+        order = hit[np.argsort(ranks[hit], kind="stable")]
+        at, ranks = at[order], ranks[order]
+        cuts = [0, *(np.flatnonzero(np.diff(ranks)) + 1).tolist(), len(at)] if len(at) else [0]
+        for a, z, rank in zip(cuts[:-1], cuts[1:], ranks[cuts[:-1]].tolist(), strict=True):
+            if (known := index.get(rank)) is None:
+                index[rank] = [at[a:z]]
+                heapq.heappush(active, rank)
+            else:
+                known.append(at[a:z])
+
+    for s in range(0, n, NOTED):
+        at = np.arange(s, min(s + NOTED, n), dtype=np.int32)
+        note(at[following[at] >= 0])
     while active:
         rank = heapq.heappop(active)
-        positions = index.pop(rank)
-        left, right, new = made[rank]
-        positions.sort()
-        for i in positions:
-            if symbol[i] != left or (j := following[i]) < 0 or symbol[j] != right:
-                continue
-            symbol[i], symbol[j] = new, -1
-            k = following[i] = following[j]
-            if k >= 0:
-                previous[k] = i
-                if hit := get(new << 32 | symbol[k]):
-                    if (at := index.get(hit[0])) is None:
-                        index[hit[0]] = [i]
-                        made[hit[0]] = (new, symbol[k], hit[1])
-                        heapq.heappush(active, hit[0])
-                    else:
-                        at.append(i)
-            h = previous[i]
-            if h >= 0 and (hit := get(symbol[h] << 32 | new)):
-                if (at := index.get(hit[0])) is None:
-                    index[hit[0]] = [h]
-                    made[hit[0]] = (symbol[h], new, hit[1])
-                    heapq.heappush(active, hit[0])
-                else:
-                    at.append(h)
-    out = []
-    for s in starts:
-        ids = []
-        while s >= 0:
-            ids.append(symbol[s])
-            s = following[s]
-        out.append(ids)
-    return out
+        left, right, new = vocabulary.merges[rank]
+        i = np.unique(np.concatenate(index.pop(rank)))
+        j = following[i]
+        there = (symbol[i] == left) & (j >= 0) & (symbol[j] == right)
+        i, j = i[there], j[there]
+        if left == right:  # of a run of the symbol, each second position from its left
+            count = np.arange(len(i))
+            first = np.maximum.accumulate(np.where(np.append(True, j[:-1] != i[1:])[: len(i)], count, 0))
+            i, j = i[(count - first) % 2 == 0], j[(count - first) % 2 == 0]
+        k = following[j]
+        symbol[i], symbol[j] = new, -1
+        following[i] = k
+        inside = k >= 0
+        previous[k[inside]] = i[inside]
+        h = previous[i]
+        note(np.concatenate([i[inside], h[h >= 0]]))
+    stays = symbol >= 0
+    ids, bounds = symbol[stays].tolist(), np.append(0, np.cumsum(stays))[np.append(0, ends)].tolist()
+    return [ids[a:z] for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 class ChunkEncoder:

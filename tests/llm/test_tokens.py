@@ -40,6 +40,20 @@ def test_pair_index_equals_the_library(library, vocabulary):
         assert ids == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_a_rank_is_merged_at_all_its_positions_at_once(library, vocabulary, monkeypatch):
+    rng = random.Random(7)
+    v = Vocabulary(vocabulary)
+    pieces = sorted({"".join(rng.choices("aabbelnorst", k=rng.randrange(1, 40))) for _ in range(2000)} | {c * k for c in "aelos" for k in range(1, 70)})
+    want = [e.ids for e in library.encode_batch(pieces, add_special_tokens=False)]
+    asked = []
+    monkeypatch.setattr(Vocabulary, "ranks", lambda self, left, right, of=Vocabulary.ranks: asked.append(len(left)) or of(self, left, right))
+    assert encode_pieces(v, pieces) == want and encode_pieces(v, []) == []
+    # a look-up of pairs for each rank, not for each position
+    assert len(asked) < 2000 < sum(map(len, pieces)) / 10
+    monkeypatch.setattr(bpe, "NOTED", 7)
+    assert encode_pieces(v, pieces[:50]) == want[:50]
+
+
 def test_library_encoder_joins_and_cuts(library, vocabulary):
     many = _texts()
     for t, ids in zip(many, _encoded(token_files.library_encoder(vocabulary, "<u2"), many, "<u2")):
