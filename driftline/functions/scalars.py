@@ -88,3 +88,11 @@ def jet_infeasible(shaped: Column, jet: Column, runway_ft: Column, kind: Column,
 
 def round_half_up(c: Column) -> Column:
     return F.floor(c + 0.5)
+
+
+def round_places(x: Column, places: int) -> Column:
+    """``F.round`` for numbers without end: the same value, but decimal arithmetic only for those near a tie or large. ``x`` is to be a column, not an expression, since it is named several times."""
+    ten = 10.0**places
+    up = x * ten
+    plain = (F.abs(up) < 1e9) & (F.abs(up - F.floor(up) - 0.5) > 1e-5)
+    return F.when(plain, F.floor(up + 0.5) / ten).otherwise(F.round(x, places))

@@ -492,7 +492,7 @@ def geo_functions(t):
     nations = t("customer").select(C("c_custkey").alias("p_id"), C("c_nationkey").alias("m")), t("supplier").select(C("s_suppkey").alias("a_id"), C("s_nationkey").alias("m"))
     a, b = (x.join(own, i).select(i, C("lat").alias(f"lat{n}"), C("lon").alias(f"lon{n}"), "m") for n, (x, own, i) in enumerate(zip(_places(t), nations, ("p_id", "a_id"), strict=True), 1))
     at = [C("lat1"), C("lon1"), C("lat2"), C("lon2")]
-    return joins.dealt_pairs(a, b, "m", "p_id").where("lat1 <> lat2 or lon1 <> lon2").select("p_id", "a_id", F.round(geo.haversine(*at), 4).alias("km"), F.round(geo.bearing(*at), 4).alias("brg"))
+    return joins.dealt_pairs(a, b, "m", ["lat1", "lon1"], ["lat2", "lon2"]).where("lat1 <> lat2 or lon1 <> lon2").select("p_id", "a_id", geo.haversine(*at).alias("km"), geo.bearing(*at).alias("brg")).select("p_id", "a_id", *[scalars.round_places(C(c), 4).alias(c) for c in ("km", "brg")])
 
 
 @query("""SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS kinds, len(list(o_orderkey)) AS n, list_sort(list_filter(list(o_totalprice), lambda x: x > 200000)) AS big, list_max(list(o_totalprice)) AS most FROM orders GROUP BY o_custkey""")

@@ -106,6 +106,29 @@ def test_pairs_of_one_key_are_dealt_to_tasks(spark, sf, tmp_path, monkeypatch):
     assert len(each) > 1 and max(each) < 0.6 * sum(each)
 
 
+def test_pairs_of_like_places_share_a_task(spark, tmp_path, monkeypatch):
+    from driftline.operators import joins
+
+    monkeypatch.setattr(joins, "PAIRS", 4000)
+    con = duckdb.connect()
+    for table, key, nation, latitudes, each in (("customer", "c_custkey", "c_nationkey", 20, 60), ("supplier", "s_suppkey", "s_nationkey", 10, 20)):  # 18 longitudes at most for a latitude
+        row = spark.range(latitudes * each).select((F.col("id") % latitudes + F.floor(F.col("id") / latitudes) * 1700).alias(key), F.pmod(F.xxhash64("id"), F.lit(5)).cast("int").alias(nation))
+        row.coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    got, want = QUERIES["geo_functions"](spark, str(tmp_path)), con.execute(SQL["geo_functions"]).df()
+    assert len(want) > 40_000 and rows(got.toPandas()) == rows(want)
+    each = got.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.countDistinct("km", "brg").alias("values")).collect()
+    assert len(each) > 8 and max(r["n"] for r in each) < 8000
+    assert sum(r["values"] for r in each) < 2 * got.select("km", "brg").distinct().count()
+
+
+def test_round_places_is_round(spark):
+    from driftline.functions import scalars
+
+    x = spark.range(20_000).select((F.col("id") / 20_000 - 0.3).alias("x")).union(spark.createDataFrame([(v,) for v in (None, float("nan"), float("inf"), -0.0, 1e300, -123456.78905, 2.00005, 99999.99995)], "x double"))
+    assert x.where(~F.round("x", 4).eqNullSafe(scalars.round_places(F.col("x"), 4))).count() == 0
+
+
 def test_entry_imports_and_runs(spark):
     import __spark_entry__ as e
 
